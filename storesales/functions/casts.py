@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -20,9 +21,11 @@ def lenient_cast(column: Column, source: str, target: str) -> Column:
             return F.when(column.rlike(ISO_DATE), column.try_cast("date"))
         return column.cast("date")
     if source == "string" and target in INTEGERS:
-        # Identifiers may be written as floats ('7.0'); the direct cast goes
-        # first so that long keys never lose digits in a double.
-        return F.coalesce(column.try_cast(target), column.try_cast("double").try_cast(target))
+        # Identifiers may be written as floats ('7.0'), but long keys would lose
+        # digits in a double. The pattern decides, because a cast that fails
+        # costs an exception per row.
+        direct = F.when(column.rlike(WHOLE_NUMBER), column.try_cast(target))
+        return direct.otherwise(column.try_cast("double").try_cast(target))
     return column.try_cast(target)
 
 

@@ -12,15 +12,25 @@ from pyspark.sql import functions as F
 from storesales.sources.shared import cut
 
 BUCKET = "__bucket"
+ROW = "__row"
+
+# monotonically_increasing_id() holds the row within the partition in its lower 33 bits.
+ROW_BITS = 33
 
 
 def range_buckets(df: DataFrame, *order: str, label: str) -> DataFrame:
-    """``df`` with the number of the range it falls into, in the order given (NULLs first).
+    """``df`` with the number of the range it falls into and its row there, in the order given (NULLs first).
 
     No number of partitions is given, so adaptive execution picks it from the
     bytes shuffled: one bucket for a small table, evenly filled ones for a large
     one. The result is written out because the range borders come from a sample
     and must not move when a lost partition is computed again.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order])
-    return cut(ranged.withColumn(BUCKET, F.spark_partition_id()), label)
+    columns = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    numbered = ranged.select("*", F.monotonically_increasing_id().alias("__id")).select(
+        *df.columns,
+        F.shiftright("__id", ROW_BITS).alias(BUCKET),
+        F.col("__id").bitwiseAND(2**ROW_BITS - 1).alias(ROW),
+    )
+    return cut(numbered, label)

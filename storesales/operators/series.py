@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from storesales.operators.ranges import BUCKET, range_buckets
+from storesales.operators.ranges import BUCKET, ROW, range_buckets
 
 METHODS = ("linear", "forward", "backward")
 
@@ -22,48 +22,49 @@ def _neighbours(df: DataFrame, value: str, order: list[str], by: list[str]) -> D
     # The value itself breaks ties, so equal dates cannot come out in a different order.
     sequence = [*order, value]
     ranged = range_buckets(df, *by, *sequence, label="series")
-    local = W.partitionBy(BUCKET, *by).orderBy(*sequence)
-    numbered = ranged.withColumn("__row", F.row_number().over(local))
-
-    def valid(row: Column) -> Column:
-        point = F.struct(row.cast("bigint").alias("at"), F.col(value).alias("value"))
-        return F.when(F.col(value).isNotNull(), point)
-
-    summary = numbered.groupBy(BUCKET, *by).agg(
-        F.count("*").alias("rows"),
-        F.min(valid(F.col("__row"))).alias("first"),
-        F.max(valid(F.col("__row"))).alias("last"),
+    point = F.struct(F.col(ROW).alias("at"), F.col(value).alias("value"))
+    valid = F.when(F.col(value).isNotNull(), point)
+    summary = ranged.groupBy(BUCKET, *by).agg(
+        F.count("*").alias("rows"), F.min(ROW).alias("start"), F.min(valid).alias("first"), F.max(valid).alias("last")
+    )
+    # Looking ahead is looking back in reverse order: frames that end at the
+    # current row grow by one row each, frames that start there are computed
+    # anew for every row.
+    earlier = W.partitionBy(*by).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
+    later = W.partitionBy(*by).orderBy(F.desc(BUCKET)).rowsBetween(W.unboundedPreceding, -1)
+    # Turns a row number within the bucket into one within the series.
+    summary = summary.withColumn(
+        "__offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("start")
     )
-    across = W.partitionBy(*by).orderBy(BUCKET)
-    earlier = across.rowsBetween(W.unboundedPreceding, -1)
-    later = across.rowsBetween(1, W.unboundedFollowing)
-    summary = summary.withColumn("__offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
 
-    def moved(point: str) -> Column:
+    def moved(name: str) -> Column:
         whole = F.struct(
-            (F.col(point)["at"] + F.col("__offset")).alias("at"), F.col(point)["value"].alias("value")
+            (F.col(name)["at"] + F.col("__offset")).alias("at"), F.col(name)["value"].alias("value")
         )
-        return F.when(F.col(point).isNotNull(), whole)
+        return F.when(F.col(name).isNotNull(), whole)
 
     carried = summary.select(
         F.col(BUCKET).alias("__b"),
         *[F.col(c).alias(f"__by_{c}") for c in by],
         "__offset",
         F.last(moved("last"), True).over(earlier).alias("__before"),
-        F.first(moved("first"), True).over(later).alias("__after"),
+        F.last(moved("first"), True).over(later).alias("__after"),
     )
     same = F.col(BUCKET) == F.col("__b")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
-    placed = numbered.join(carried, same).withColumn("__pos", F.col("__row") + F.col("__offset"))
-    behind = local.rowsBetween(W.unboundedPreceding, W.currentRow)
-    ahead = local.rowsBetween(W.currentRow, W.unboundedFollowing)
-    here = valid(F.col("__pos"))
+    local = W.partitionBy(BUCKET, *by)
+    behind = local.orderBy(ROW).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ahead = local.orderBy(F.desc(ROW)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    here = F.when(
+        F.col(value).isNotNull(), F.struct(F.col("__pos").alias("at"), F.col(value).alias("value"))
+    )
+    placed = ranged.join(carried, same).withColumn("__pos", F.col(ROW) + F.col("__offset"))
     return placed.select(
         *df.columns,
         "__pos",
         F.coalesce(F.last(here, True).over(behind), F.col("__before")).alias("__prev"),
-        F.coalesce(F.first(here, True).over(ahead), F.col("__after")).alias("__next"),
+        F.coalesce(F.last(here, True).over(ahead), F.col("__after")).alias("__next"),
     )
 
 

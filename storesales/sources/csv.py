@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storesales.functions.casts import INTEGERS, WHOLE_NUMBER
 from storesales.sources.schemas import EXPECTED_TYPES, RAW_FILES
 from storesales.sources.shared import checkpoint
 
@@ -76,6 +77,8 @@ def _fits(column: str, target: str) -> Column:
         fits = value.rlike(r"^\d{4}-\d{2}-\d{2}$") & value.try_cast("date").isNotNull()
     elif target == "boolean":
         fits = F.lower(value).isin("true", "false")
+    elif target in INTEGERS:
+        fits = value.rlike(WHOLE_NUMBER) & value.try_cast(target).isNotNull()
     else:
         fits = value.try_cast(target).isNotNull()
     return F.every(value.isNull() | fits)

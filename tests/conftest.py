@@ -23,3 +23,24 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def settings(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(options):
+        for key, value in options.items():
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def many_buckets(settings):
+    """Cut even tiny tables into several ranges."""
+    settings({"spark.sql.adaptive.coalescePartitions.enabled": "false"})

@@ -1,0 +1,206 @@
+"""Deduplication, casts and imputation on literal rows."""
+
+import datetime
+import random
+import statistics
+
+import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from storesales.functions.casts import safe_cast, to_date_col
+from storesales.functions.numeric import pct_change, safe_corr
+from storesales.operators.dedup import dedup, dedup_keep_first
+from storesales.operators.impute import exact_median, fill_constant, fill_median, fill_mode
+from storesales.operators.series import fill_backward, fill_forward, fill_series, interpolate_linear
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, v if v is not None else 0) for v in r])
+
+
+def test_dedup_treats_nulls_as_equal(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (2, "a"), (2, "b")], "k int, v string")
+    assert rows(dedup(df)) == [(1, None), (2, "a"), (2, "b")]
+
+
+def test_keep_first_takes_lowest_order(spark):
+    df = spark.createDataFrame([(9, 1, None), (3, 1, None), (5, 2, "a")], "id long, k int, v string")
+    out = dedup_keep_first(df, ["k", "v"], "id")
+    assert out.columns == ["id", "k", "v"]
+    assert rows(out) == [(3, 1, None), (5, 2, "a")]
+
+
+def test_keep_first_keeps_the_rest_of_the_row_together(spark):
+    df = spark.createDataFrame([(2, 1, "b"), (1, 1, "z"), (None, 2, "n")], "id long, k int, v string")
+    assert rows(dedup_keep_first(df, ["k"], "id")) == [(1, 1, "z"), (None, 2, "n")]
+
+
+def test_casts_give_null_for_what_does_not_fit(spark):
+    df = spark.createDataFrame(
+        [("x", "x", "x"), ("1.0", "True", "3.5"), ("", "", ""), (None, None, None), ("9007199254740993", "FALSE", "1e3")],
+        "i string, b string, d string",
+    )
+    out = safe_cast(df, {"i": "bigint", "b": "boolean", "d": "double"})
+    assert [t for _, t in out.dtypes] == ["bigint", "boolean", "double"]
+    assert [tuple(r) for r in out.collect()] == [
+        (None, None, None),
+        (1, True, 3.5),
+        (None, None, None),
+        (None, None, None),
+        (9007199254740993, False, 1000.0),
+    ]
+
+
+def test_cast_of_numbers_truncates_or_gives_null(spark):
+    df = spark.createDataFrame([(3.9,), (1e20,), (float("nan"),)], "v double")
+    assert [r[0] for r in safe_cast(df, {"v": "int"}).collect()] == [3, None, None]
+
+
+def test_dates_are_parsed_leniently_and_only_if_needed(spark):
+    df = spark.createDataFrame([("2015-02-28",), ("2015-02-30",), ("2015",), ("x",), ("",)], "date string")
+    found = [r[0] for r in to_date_col(df).collect()]
+    assert found == [datetime.date(2015, 2, 28), None, None, None, None]
+    no_date = spark.range(1)
+    assert to_date_col(no_date) is no_date
+    dated = to_date_col(df)
+    assert to_date_col(dated) is dated
+
+
+def test_fill_constant(spark):
+    df = spark.createDataFrame([(None, 1, None), (2.0, None, True)], "a double, b int, c boolean")
+    out = fill_constant(df, {"a": 0.0, "b": 0, "c": False})
+    assert [tuple(r) for r in out.collect()] == [(0.0, 1, False), (2.0, 0, True)]
+    assert out.dtypes == df.dtypes
+
+
+@pytest.mark.parametrize(
+    ("values", "mode"),
+    [
+        (["b", "a", "a", "b", None], "a"),
+        ([None, None, None, "z"], "z"),
+        (["x", "y", "y"], "y"),
+        ([None, None], None),
+    ],
+)
+def test_mode(spark, values, mode):
+    df = spark.createDataFrame([(v, "k") for v in values], "c string, d string")
+    found = [r["c"] for r in fill_mode(df, ["c", "d"]).collect()]
+    assert found == [v if v is not None else mode for v in values]
+
+
+@pytest.mark.parametrize("values", [[1, 2, 3], [1, 2, 3, 10], [5], [7, 7, 7, 1], [None, 4, None, 2], [None], []])
+def test_median(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    known = [v for v in values if v is not None]
+    expected = statistics.median(known) if known else None
+    assert exact_median(df, "v").first()["median"] == expected
+    filled = fill_median(df, ["v"])
+    assert filled.dtypes == [("v", "double")]
+    assert sorted(r[0] for r in filled.collect() if r[0] is not None) == sorted(
+        v if v is not None else expected for v in values if (v if v is not None else expected) is not None
+    )
+
+
+def test_median_over_many_ranges_with_a_hot_value(spark, many_buckets):
+    rng = random.Random(1)
+    for hot in (0, 350, 351):
+        values = [rng.randrange(1000) for _ in range(701)] + [500] * hot
+        df = spark.createDataFrame([(v,) for v in values], "v bigint")
+        assert exact_median(df, "v").first()["median"] == statistics.median(values)
+
+
+def test_approximate_median_is_close(spark):
+    df = spark.createDataFrame([(v,) for v in [*range(101), None]], "v bigint")
+    assert fill_median(df, ["v"], approx=True).where("v = 50").count() == 2
+
+
+def brute(values, methods):
+    """Positions and neighbours by looking at every row."""
+    out = []
+    for i, v in enumerate(values):
+        before = [(j, w) for j, w in enumerate(values[: i + 1]) if w is not None]
+        after = [(j, w) for j, w in enumerate(values) if j >= i and w is not None]
+        if v is None and "linear" in methods and before and after:
+            (a, x), (b, y) = before[-1], after[0]
+            v = x + (y - x) * (i - a) / (b - a)
+        if v is None and "forward" in methods and before:
+            v = before[-1][1]
+        if v is None and "backward" in methods and after:
+            v = after[0][1]
+        out.append(v)
+    return out
+
+
+def series(spark, values, step=1):
+    start = datetime.date(2015, 1, 1)
+    data = [(start + datetime.timedelta(days=i * step), v) for i, v in enumerate(values)]
+    return spark.createDataFrame(data, "date date, v double")
+
+
+SERIES = [
+    [None, 1.0, None, 3.0, None, None, 9.0, None],
+    [None, None, None],
+    [None],
+    [4.0],
+    [],
+    [1.0, None, None, None, 2.0],
+]
+
+
+@pytest.mark.parametrize("values", SERIES)
+def test_series_edges(spark, values):
+    df = series(spark, values)
+    for fill, methods in (
+        (interpolate_linear, ["linear"]),
+        (fill_forward, ["forward"]),
+        (fill_backward, ["backward"]),
+        (fill_series, ["linear", "forward", "backward"]),
+    ):
+        found = [r["v"] for r in fill(df, "v", ["date"]).orderBy("date").collect()]
+        assert found == brute(values, methods)
+
+
+def test_interpolation_counts_rows_not_days(spark):
+    data = [(datetime.date(2015, 1, 2), 1.0), (datetime.date(2015, 1, 5), None), (datetime.date(2015, 1, 6), 2.0)]
+    df = spark.createDataFrame(data, "date date, v double")
+    assert [r["v"] for r in interpolate_linear(df, "v", ["date"]).orderBy("date").collect()] == [1.0, 1.5, 2.0]
+
+
+@hypothesis_settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.one_of(st.none(), st.integers(-100, 100).map(float)), min_size=1, max_size=60))
+def test_series_over_many_ranges(spark, many_buckets, values):
+    found = [r["v"] for r in fill_series(series(spark, values), "v", ["date"]).orderBy("date").collect()]
+    assert found == brute(values, ["linear", "forward", "backward"])
+    for before, after in zip(values, found):
+        assert before is None or before == after
+
+
+def test_keyed_series_with_a_hot_and_a_null_key(spark, many_buckets):
+    rng = random.Random(2)
+    keys = {"hot": 90, "a": 7, None: 12, "b": 1}
+    data, expected = [], []
+    for key, n in keys.items():
+        values = [rng.choice([None, None, float(rng.randrange(50))]) for _ in range(n)]
+        data += [(key, i, v) for i, v in enumerate(values)]
+        expected += [(key, i, v) for i, v in enumerate(brute(values, ["linear", "forward", "backward"]))]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, i int, v double")
+    found = [tuple(r) for r in fill_series(df, "v", ["i"], by=["k"]).collect()]
+    order = lambda r: (r[0] is None, r[0] or "", r[1])
+    assert sorted(found, key=order) == sorted(expected, key=order)
+
+
+def test_percent_change_and_correlation_without_a_base(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (3.0, 0.0)], "a double, b double")
+    assert df.select(pct_change(F.col("a"), F.col("b"))).first()[0] is None
+    corr = lambda d: d.agg(safe_corr(F.col("a"), F.col("b"))).first()[0]
+    assert corr(df) is None
+    assert corr(df.limit(1)) is None
+    assert corr(df.limit(0)) is None
+    line = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (5.0, None), (3.0, 6.0)], "a double, b double")
+    assert corr(line) == pytest.approx(1.0)

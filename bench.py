@@ -46,6 +46,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("storesales-bench")
         .config("spark.sql.shuffle.partitions", CPUS)
+        # Small files, so that tables of this size are read by all cores.
+        .config("spark.sql.files.maxRecordsPerFile", "75000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")

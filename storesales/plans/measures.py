@@ -17,10 +17,15 @@ from storesales.functions.numeric import from_units, to_units
 SUMS = ["sales_units", "sales_n", "rows_n", "oil_units", "oil_n", "traffic_sum", "traffic_n"]
 
 # The grains of the two rollups, fine enough for all tables between them.
-DAY_FAMILY = ["date", "anio", "mes", "es_feriado", "family", "tiene_promocion"]
+DAY_FAMILY = ["date", "es_feriado", "family", "tiene_promocion"]
 STORE_YEAR = ["store_nbr", "city", "state", "anio"]
 
 
+def _calendar() -> list[Column]:
+    """Year and month follow from the date, so they need not be grouped by."""
+    return [F.year("date").alias("anio"), F.month("date").alias("mes")]
+
+
 @dataclass(frozen=True)
 class Measures:
     """Rows with partial sums. ``scale`` and ``oil_scale`` are decimal places, see ``to_units``."""
@@ -38,8 +43,7 @@ class Measures:
 
         frame = consolidated.select(
             "date",
-            F.year("date").alias("anio"),
-            F.month("date").alias("mes"),
+            *_calendar(),
             "store_nbr",
             "family",
             "city",
@@ -59,7 +63,7 @@ class Measures:
     def rollup(self, *keys: str) -> Measures:
         """The same measures summed up per ``keys``: partial sums before the shuffle, hot keys included."""
         summed = self.frame.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
-        return self.on(summed)
+        return self.on(summed.select("*", *_calendar()) if "date" in keys else summed)
 
     def on(self, frame: DataFrame) -> Measures:
         return Measures(frame, self.scale, self.oil_scale)

@@ -22,26 +22,30 @@ QUALITY_COLUMNS = [
 ]
 
 
-def profile_table(df: DataFrame, name: str, ignore: tuple[str, ...] = ()) -> DataFrame:
+def profile_table(
+    df: DataFrame, name: str, ignore: tuple[str, ...] = (), unique: DataFrame | None = None
+) -> DataFrame:
     """One row: row and column count, duplicate rows, date range.
 
-    Two rows are duplicates if they agree in all columns but the ``ignore``\\ d
-    technical keys, NULL being equal to NULL. The rows are counted per distinct
+    Two rows are duplicates if they agree in all columns but the technical keys
+    in ``ignore``, NULL being equal to NULL. The rows are counted per distinct
     row first, and everything else is read off these counts: one scan, one
-    shuffle.
+    shuffle. If ``unique`` has as many rows as ``df`` has distinct ones, as its
+    cleaned version does, that table is counted instead and nothing is shuffled.
     """
-    compared = [c for c in df.columns if c not in ignore]
-    counted = df.groupBy(*compared).agg(F.count("*").alias("__copies"))
-    if "date" in compared:
+    if "date" in df.columns:
         day = lenient_cast(F.col("date"), dict(df.dtypes)["date"], "date")
     else:
         day = F.lit(None).cast("date")
-    seen = counted.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("filas"),
-        F.count("*").alias("distintas"),
-        F.min(day).cast("string").alias("fecha_minima"),
-        F.max(day).cast("string").alias("fecha_maxima"),
-    )
+    span = [F.min(day).cast("string").alias("fecha_minima"), F.max(day).cast("string").alias("fecha_maxima")]
+    if unique is None:
+        compared = [c for c in df.columns if c not in ignore]
+        rows = F.coalesce(F.sum("__copies"), F.lit(0))
+        counted = df.groupBy(*compared).agg(F.count("*").alias("__copies"))
+        seen = counted.agg(rows.alias("filas"), F.count("*").alias("distintas"), *span)
+    else:
+        distinct = unique.agg(F.count("*")).scalar()
+        seen = df.agg(F.count("*").alias("filas"), *span).withColumn("distintas", distinct)
     duplicated = F.col("filas") - F.col("distintas")
     return seen.select(
         F.lit(name).alias("archivo"),
@@ -71,9 +75,14 @@ def profile_columns(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def quality_table(tables: dict[str, DataFrame], ignore: dict[str, tuple[str, ...]]) -> DataFrame:
+def quality_table(
+    tables: dict[str, DataFrame],
+    ignore: dict[str, tuple[str, ...]],
+    unique: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """``profile_table`` of all ``tables``, one row each."""
-    rows = [profile_table(df, name, ignore.get(name, ())) for name, df in tables.items()]
+    known = unique or {}
+    rows = [profile_table(df, name, ignore.get(name, ()), known.get(name)) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -106,8 +115,9 @@ def profile_report(quality: DataFrame, columns: DataFrame, names: list[str]) ->
     perfiles = described.agg(
         F.map_from_entries(F.collect_list(F.struct("archivo", "perfil"))).alias("todos")
     )
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     return perfiles.select(
-        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("generado_en"),
+        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("generado_en"),
         F.lit("eda_inicial (antes de limpiar)").alias("etapa"),
         F.struct(*[F.col("todos")[n].alias(n) for n in names]).alias("archivos"),
     )

@@ -13,6 +13,7 @@ from storesales.sources.shared import cut
 
 BUCKET = "__bucket"
 ROW = "__row"
+TIE = "__tie"
 
 # monotonically_increasing_id() holds the row within the partition in its lower 33 bits.
 ROW_BITS = 33
@@ -23,12 +24,14 @@ def range_buckets(df: DataFrame, *order: str, label: str) -> DataFrame:
 
     No number of partitions is given, so adaptive execution picks it from the
     bytes shuffled: one bucket for a small table, evenly filled ones for a large
-    one. The result is written out because the range borders come from a sample
-    and must not move when a lost partition is computed again.
+    one. Rows that are equal in ``order`` may be split too, or many of them would
+    overfill a bucket. The result is written out because the range borders come
+    from a sample and must not move when a lost partition is computed again.
     """
-    columns = [F.col(c) for c in order]
-    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
-    numbered = ranged.select("*", F.monotonically_increasing_id().alias("__id")).select(
+    columns = [F.col(c) for c in (*order, TIE)]
+    told_apart = df.withColumn(TIE, F.monotonically_increasing_id())
+    ranged = told_apart.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    numbered = ranged.select(*df.columns, F.monotonically_increasing_id().alias("__id")).select(
         *df.columns,
         F.shiftright("__id", ROW_BITS).alias(BUCKET),
         F.col("__id").bitwiseAND(2**ROW_BITS - 1).alias(ROW),

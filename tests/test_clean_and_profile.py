@@ -126,3 +126,10 @@ def test_profile_of_an_empty_table_without_dates(spark):
     assert (row["filas"], row["filas_duplicadas"], row["porcentaje_duplicadas"]) == (0, 0, 0.0)
     assert row["fecha_minima"] is None and row["fecha_maxima"] is None
     assert {r["porcentaje_nulos"] for r in profile_columns(empty, "stores").collect()} == {0.0}
+
+
+def test_profile_from_the_cleaned_table_is_the_same(spark):
+    for name, raw in raw_tables(spark).items():
+        ignore = ("id",) if name == "train" else ()
+        cleaned = clean_table(name, raw)
+        assert profile_table(raw, name, ignore, cleaned).collect() == profile_table(raw, name, ignore).collect()

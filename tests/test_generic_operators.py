@@ -14,6 +14,7 @@ from storesales.functions.casts import safe_cast, to_date_col
 from storesales.functions.numeric import pct_change, safe_corr
 from storesales.operators.dedup import dedup, dedup_keep_first
 from storesales.operators.impute import exact_median, fill_constant, fill_median, fill_mode
+from storesales.operators.ranges import BUCKET, ROW, range_buckets
 from storesales.operators.series import fill_backward, fill_forward, fill_series, interpolate_linear
 
 
@@ -204,3 +205,12 @@ def test_percent_change_and_correlation_without_a_base(spark):
     assert corr(df.limit(0)) is None
     line = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (5.0, None), (3.0, 6.0)], "a double, b double")
     assert corr(line) == pytest.approx(1.0)
+
+
+def test_equal_rows_spread_over_the_ranges(spark, many_buckets):
+    df = spark.createDataFrame([("2015-01-01", None)] * 400, "date string, v double")
+    ranged = range_buckets(df, "date", "v", label="test")
+    sizes = [r["count"] for r in ranged.groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == 400 and len(sizes) == 8 and max(sizes) < 150
+    order = ranged.groupBy(BUCKET).agg(F.min(ROW).alias("low"), F.max(ROW).alias("high"), F.count("*").alias("n"))
+    assert order.where("low <> 0 OR high <> n - 1").count() == 0

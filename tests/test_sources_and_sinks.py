@@ -16,7 +16,7 @@ from storesales.plans.retail_job import run_job
 from storesales.queries import queries
 from storesales.sources.csv import LoadError, load_all, read_csv, settle_types
 from storesales.sources.schemas import RAW_FILES
-from storesales.sources.shared import checkpoint, cut
+from storesales.sources.shared import checkpoint, cut, shared_dir
 from storesales.sources.sinks import export_all, jdbc_column_types, jdbc_options, parquet_sink, write_report
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -228,3 +228,31 @@ def test_job_stops_at_the_first_failing_stage(spark, tmp_path):
     with pytest.raises(LoadError):
         run_job(spark, source, f"{source}/out")
     assert not (tmp_path / "out").exists()
+
+
+class FakeSession:
+    """What ``shared_dir`` asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.folder = folder
+        self.master = master
+        self.conf = self
+        self.sparkContext = self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_is_the_sessions_own(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(FakeSession("yarn", "hdfs:/cp")) == "hdfs:/cp"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert shared_dir(local) == shared_dir(local) == local.folder

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from storesales.operators.ranges import BUCKET, range_buckets
+from storesales.sources.shared import cut
 
 
 def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -74,13 +75,14 @@ def fill_median(df: DataFrame, columns: list[str], approx: bool = False) -> Data
     """Replace NULLs by the column's median; the columns become doubles either way.
 
     Without NULLs there is nothing to order, and the check for them filters at
-    the scan. ``approx`` takes the median from a quantile sketch: one pass.
+    the scan. Otherwise ``df`` is read twice, so it is written once. ``approx``
+    takes the median from a quantile sketch: one pass.
     """
-    filled = {}
-    for c in columns:
-        if df.where(F.col(c).isNull()).isEmpty():
-            filled[c] = F.col(c).cast("double")
-            continue
+    filled = {c: F.col(c).cast("double") for c in columns}
+    with_nulls = [c for c in columns if not df.where(F.col(c).isNull()).isEmpty()]
+    if with_nulls:
+        df = cut(df, "median-input")
+    for c in with_nulls:
         if approx:
             median = df.agg(F.percentile_approx(F.col(c).cast("double"), 0.5).alias("median"))
         else:

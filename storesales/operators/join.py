@@ -10,22 +10,28 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """The size of the rows of ``df``, by counting: 8 bytes a value, and the bytes of all text."""
+def _size(df: DataFrame) -> DataFrame:
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     fixed = F.count("*") * (8 * (len(df.columns) + 1))
-    sized = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text), fixed)
-    return df.agg(sized.alias("bytes")).first()["bytes"]
+    return df.agg(sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text), fixed).alias("bytes"))
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size allows it.
+def measured_bytes(*sides: DataFrame) -> list[int]:
+    """The size of the rows of each side, by counting: 8 bytes a value, and the bytes of all text."""
+    one = sides[0].sparkSession.range(1)
+    return list(one.select(*[_size(df).scalar().alias(f"s{i}") for i, df in enumerate(sides)]).first())
+
+
+def small_sides(*sides: DataFrame, limit: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """The sides, each with a broadcast hint if its measured size allows it.
 
     Without the hint Spark joins by sorting both sides, and adaptive execution
-    splits the partitions of hot keys. ``df`` is read twice, so it should be a
-    written table.
+    splits the partitions of hot keys. The sides are read twice, so they should
+    be written tables.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    return [
+        F.broadcast(df) if size <= limit else df for df, size in zip(sides, measured_bytes(*sides))
+    ]
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storesales.operators.join import BROADCAST_BYTES, left_join, small_side
+from storesales.operators.join import BROADCAST_BYTES, left_join, small_sides
 
 
 def summarise_holidays(holidays: DataFrame) -> DataFrame:
@@ -53,9 +53,10 @@ def consolidate(
     rows, and the final projection sets the order of columns.
     """
     with_traffic = left_join(sales, transactions, ["store_nbr", "date"])
-    with_stores = left_join(with_traffic, small_side(stores, broadcast_bytes), ["store_nbr"])
-    with_oil = left_join(with_stores, small_side(oil, broadcast_bytes), ["date"])
-    daily = small_side(summarise_holidays(holidays), broadcast_bytes)
+    daily = summarise_holidays(holidays)
+    stores, oil, daily = small_sides(stores, oil, daily, limit=broadcast_bytes)
+    with_stores = left_join(with_traffic, stores, ["store_nbr"])
+    with_oil = left_join(with_stores, oil, ["date"])
     out = left_join(with_oil, daily, ["date"]).withColumns(
         {c: F.coalesce(F.col(c), F.lit(False)) for c in ("es_feriado", "feriado_transferido")}
     )

@@ -28,6 +28,7 @@ from storesales.plans.measures import DAY_FAMILY, STORE_YEAR, Measures
 from storesales.sources.csv import load_all
 from storesales.sources.schemas import TECHNICAL_KEYS
 from storesales.sources.shared import checkpoint
+from storesales.sources.sizing import size_shuffles
 from storesales.sources.sinks import Sink, export_all, write_report
 
 logger = logging.getLogger(__name__)
@@ -109,6 +110,7 @@ def run_job(
     years: tuple[int, int] = OIL_FALL,
 ) -> JobResult:
     """All stages in order, from the CSV files in ``source_dir`` to ``out`` and ``sink``."""
+    size_shuffles(spark, source_dir)
     raw = load_all(spark, source_dir, f"{out}/raw")
     cleaned, metrics = clean_stage(raw, out)
     quality = profile_stage(raw, cleaned, out)

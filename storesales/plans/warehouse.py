@@ -14,10 +14,14 @@ from storesales.plans.clean import CLEANERS, clean_table
 from storesales.plans.consolidate import consolidate
 from storesales.plans.measures import Measures
 from storesales.sources.shared import checkpoint, new_path
+from storesales.sources.sizing import size_shuffles
 
 # (application, data folder, table) -> (path, schema) of what is written.
 _written: dict[tuple[str, str, str], tuple] = {}
 
+# (application, data folder) whose size the shuffles follow.
+_sized: set[tuple[str, str]] = set()
+
 
 class Warehouse:
     """Raw, clean and consolidated tables over one folder of test tables."""
@@ -25,6 +29,10 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        folder = (spark.sparkContext.applicationId, sf_dir)
+        if folder not in _sized:
+            size_shuffles(spark, f"{sf_dir}/lineitem.parquet")
+            _sized.add(folder)
 
     def _once(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from storesales.operators.join import check_cardinality, left_join, measured_bytes, small_side
+from storesales.operators.join import check_cardinality, left_join, measured_bytes, small_sides
 from storesales.plans import analytics as a
 from storesales.plans import findings as f
 from storesales.plans.consolidate import consolidate, summarise_holidays
@@ -115,10 +115,11 @@ def test_taken_names_get_a_suffix(spark):
 
 def test_broadcast_only_up_to_the_measured_size(spark):
     df = spark.createDataFrame([("abcd",), (None,)], "s string")
-    size = measured_bytes(df)
+    (size,) = measured_bytes(df)
     assert size == 2 * 16 + 4
     hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
-    assert hinted(small_side(df, size)) and not hinted(small_side(df, size - 1))
+    assert hinted(*small_sides(df, limit=size)) and not hinted(*small_sides(df, limit=size - 1))
+    assert measured_bytes(df.limit(0), df) == [0, size]
 
 
 def wide(spark, data):

@@ -17,6 +17,7 @@ from storesales.queries import queries
 from storesales.sources.csv import LoadError, load_all, read_csv, settle_types
 from storesales.sources.schemas import RAW_FILES
 from storesales.sources.shared import checkpoint, cut, shared_dir
+from storesales.sources.sizing import size_shuffles, stored_bytes
 from storesales.sources.sinks import export_all, jdbc_column_types, jdbc_options, parquet_sink, write_report
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -256,3 +257,19 @@ def test_shared_folder_is_the_sessions_own(spark):
         shared_dir(FakeSession("yarn"))
     local = FakeSession("local[2]")
     assert shared_dir(local) == shared_dir(local) == local.folder
+
+
+def test_shuffles_follow_the_input(spark, settings, tmp_path):
+    settings({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "5"})
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("x" * 1000)
+    (tmp_path / "in" / "b.csv").write_text("x" * 500)
+    source = str(tmp_path / "in")
+    assert stored_bytes(spark, source) == 1500
+    assert size_shuffles(spark, source, 10) == 5
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    assert size_shuffles(spark, source, 1500) == 8
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+    assert size_shuffles(spark, source, 10) == 150
+    grouped = spark.range(9).groupBy(F.col("id") % 3).count()
+    assert ", 150)" in grouped._jdf.queryExecution().executedPlan().toString()

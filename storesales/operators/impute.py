@@ -50,7 +50,7 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    ranged = range_buckets(counted, "value", label="median")
+    ranged = range_buckets(counted, "value", label="median", ties=False)
     # One row per bucket: as many as there are shuffle partitions.
     borders = ranged.groupBy(BUCKET).agg(F.sum("n").alias("inside"))
     upto = W.orderBy(BUCKET).rowsBetween(W.unboundedPreceding, W.currentRow)

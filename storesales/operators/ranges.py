@@ -19,18 +19,24 @@ TIE = "__tie"
 ROW_BITS = 33
 
 
-def range_buckets(df: DataFrame, *order: str, label: str) -> DataFrame:
+def range_buckets(df: DataFrame, *order: str, label: str, ties: bool = True) -> DataFrame:
     """``df`` with the number of the range it falls into and its row there, in the order given (NULLs first).
 
     No number of partitions is given, so adaptive execution picks it from the
     bytes shuffled: one bucket for a small table, evenly filled ones for a large
-    one. Rows that are equal in ``order`` may be split too, or many of them would
-    overfill a bucket. The result is written out because the range borders come
-    from a sample and must not move when a lost partition is computed again.
+    one. The result is written out because the range borders come from a sample
+    and must not move when a lost partition is computed again.
+
+    With ``ties``, rows that are equal in ``order`` may be split too, or many of
+    them would overfill a bucket. They are told apart by their place in a written
+    table, which is the same however often a lost partition is read again.
     """
-    columns = [F.col(c) for c in (*order, TIE)]
-    told_apart = df.withColumn(TIE, F.monotonically_increasing_id())
-    ranged = told_apart.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    columns = [F.col(c) for c in order]
+    apart = df
+    if ties:
+        apart = cut(df, f"{label}-input").withColumn(TIE, F.monotonically_increasing_id())
+        columns.append(F.col(TIE))
+    ranged = apart.repartitionByRange(*columns).sortWithinPartitions(*columns)
     numbered = ranged.select(*df.columns, F.monotonically_increasing_id().alias("__id")).select(
         *df.columns,
         F.shiftright("__id", ROW_BITS).alias(BUCKET),

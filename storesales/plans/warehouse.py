@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from storesales.fixtures import OIL_SCALE, RAW, SALES_SCALE
@@ -36,12 +37,16 @@ class Warehouse:
 
     def _once(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
-        if key not in _written:
-            df, path = make(), new_path(self.spark, label)
-            checkpoint(df, path)
-            _written[key] = (path, df.schema)
-        path, schema = _written[key]
-        return self.spark.read.schema(schema).parquet(path)
+        if key in _written:
+            path, schema = _written[key]
+            try:
+                return self.spark.read.schema(schema).parquet(path)
+            except AnalysisException:  # someone emptied the shared folder
+                del _written[key]
+        path = new_path(self.spark, label)
+        written = checkpoint(make(), path)
+        _written[key] = (path, written.schema)
+        return written
 
     def raw(self, name: str) -> DataFrame:
         return self._once(f"raw-{name}", lambda: RAW[name](self.spark, self.sf_dir))

@@ -53,19 +53,23 @@ def validate_columns(spark: SparkSession, name: str, path: str, expected: set[st
     return found
 
 
-def read_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, name: str, path: str, multi_line: bool = False) -> DataFrame:
     """The file as text columns named by its own header, with malformed records set aside.
 
     A given schema binds by position, so the header decides the order. Text
     first: a value of the wrong type is then seen, not silently made NULL.
+    Line breaks inside quotes need ``multi_line``, which reads each file in one
+    task, so it is off by default.
     """
     columns = validate_columns(spark, name, path, set(EXPECTED_TYPES[name]))
     fields = [T.StructField(c, T.StringType()) for c in [*columns, MALFORMED]]
-    return spark.read.csv(
+    # A pruned column would not be parsed, and a malformed record pass unnoticed.
+    return spark.read.option("columnPruning", "false").csv(
         path,
         schema=T.StructType(fields),
         header=True,
         escape='"',
+        multiLine=multi_line,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=MALFORMED,
     )
@@ -84,10 +88,15 @@ def _fits(column: str, target: str) -> Column:
     return F.every(value.isNull() | fits)
 
 
-def _too_long(width: int) -> Column:
-    """Whether a malformed record has more fields than the header (fewer means trailing NULLs)."""
-    unquoted = F.regexp_replace(F.col(MALFORMED), r'"(?:[^"]|"")*"', "")
-    return F.size(F.split(unquoted, ",")) > width
+def _broken(width: int) -> Column:
+    """Whether a malformed record cannot be read: an open quote, or more fields than the header.
+
+    Fewer fields are no harm: the rest are NULL.
+    """
+    record = F.col(MALFORMED)
+    quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
+    unquoted = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    return (quotes % 2 == 1) | (F.size(F.split(unquoted, ",")) > width)
 
 
 def settle_types(text: DataFrame, name: str) -> DataFrame:
@@ -102,9 +111,9 @@ def settle_types(text: DataFrame, name: str) -> DataFrame:
         _fits(c, target).alias(f"{i}_{target}") for i, c in enumerate(columns) for target in ladders[c]
     ]
     # One row of booleans.
-    seen = text.agg(F.count_if(_too_long(len(columns))).alias("too_long"), *checks).first()
-    if seen["too_long"]:
-        raise ValueError(f"table '{name}' has {seen['too_long']} records with too many fields")
+    seen = text.agg(F.count_if(_broken(len(columns))).alias("broken"), *checks).first()
+    if seen["broken"]:
+        raise ValueError(f"table '{name}' has {seen['broken']} records with too many fields or an open quote")
 
     def typed(i: int, c: str) -> Column:
         # An empty table gives NULL: the declared type fits.
@@ -114,12 +123,14 @@ def settle_types(text: DataFrame, name: str) -> DataFrame:
     return text.select(*[typed(i, c) for i, c in enumerate(columns)])
 
 
-def load_all(spark: SparkSession, source_dir: str, out_dir: str) -> dict[str, DataFrame]:
+def load_all(
+    spark: SparkSession, source_dir: str, out_dir: str, multi_line: bool = False
+) -> dict[str, DataFrame]:
     """Load all tables into Parquet under ``out_dir``; on any failure write nothing and name them all."""
     loaded, failures = {}, {}
     for name, file in RAW_FILES.items():
         try:
-            loaded[name] = settle_types(read_csv(spark, name, f"{source_dir}/{file}"), name)
+            loaded[name] = settle_types(read_csv(spark, name, f"{source_dir}/{file}", multi_line), name)
         except Exception as exc:  # every table gets its turn before the load gives up
             failures[name] = str(exc)
     if failures:

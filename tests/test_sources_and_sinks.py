@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from storesales.fixtures import FIXTURE_FALL, OIL_SCALE, RAW, SALES_SCALE
 from storesales.plans.clean import CLEANERS
 from storesales.plans.retail_job import run_job
+from storesales.plans.warehouse import Warehouse, _written
 from storesales.queries import queries
 from storesales.sources.csv import LoadError, load_all, read_csv, settle_types
 from storesales.sources.schemas import RAW_FILES
@@ -83,10 +84,22 @@ def test_short_records_end_in_nulls_and_long_ones_fail(spark, tmp_path):
     long = put(tmp_path, **{"oil.csv": "date,dcoilwtico\n2015-01-01,4,5\n"})
     with pytest.raises(ValueError, match="too many fields"):
         load(spark, long, "oil")
+    text_columns = put(tmp_path, **{"stores.csv": "store_nbr,city,state,type,cluster\n1,a,b,c,4,5\n"})
+    with pytest.raises(ValueError, match="too many fields"):
+        load(spark, text_columns, "stores")
     quoted = put(tmp_path, **{"stores.csv": 'store_nbr,city,state,type,cluster\n1,"a,b,c,d",P\n'})
     assert load(spark, quoted, "stores").first()["city"] == "a,b,c,d"
 
 
+def test_line_breaks_inside_quotes_are_found_or_read(spark, tmp_path):
+    for text in ('"a\nb",P,A,1', '"Q",P,A,"1\n2"'):
+        source = put(tmp_path, **{"stores.csv": f"store_nbr,city,state,type,cluster\n1,{text}\n"})
+        with pytest.raises(ValueError, match="open quote"):
+            load(spark, source, "stores")
+        whole = settle_types(read_csv(spark, "stores", f"{source}/stores.csv", multi_line=True), "stores")
+        assert whole.count() == 1
+
+
 def test_header_only_and_byte_order_mark(spark, tmp_path):
     df = load(spark, put(tmp_path, **{"oil.csv": "﻿date,dcoilwtico\n"}), "oil")
     assert df.dtypes == [("date", "date"), ("dcoilwtico", "double")] and df.count() == 0
@@ -259,6 +272,15 @@ def test_shared_folder_is_the_sessions_own(spark):
     assert shared_dir(local) == shared_dir(local) == local.folder
 
 
+def test_tables_are_written_again_if_the_folder_was_emptied(spark, settings):
+    label = Warehouse(spark, SF_DIR).raw("oil")
+    key = (spark.sparkContext.applicationId, SF_DIR, "raw-oil")
+    path, schema = _written[key]
+    _written[key] = (path + "-gone", schema)
+    assert Warehouse(spark, SF_DIR).raw("oil").count() == label.count() == 1094
+    assert _written[key][0] not in (path, path + "-gone")
+
+
 def test_shuffles_follow_the_input(spark, settings, tmp_path):
     settings({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "5"})
     (tmp_path / "in").mkdir()

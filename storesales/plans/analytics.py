@@ -171,3 +171,4 @@ STORE_YEAR_TABLES = {
     "sensibilidad_ciudades_petroleo": city_period_sensitivity,
     "ticket_promedio_por_tienda": avg_ticket_by_store,
 }
+ANALYTIC_TABLES = {**DAY_FAMILY_TABLES, **STORE_YEAR_TABLES}

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from storesales.operators.join import check_cardinality
 from storesales.operators.profile import column_table, profile_report, quality_table
 from storesales.plans.analytics import (
+    ANALYTIC_TABLES,
     DAY_FAMILY_TABLES,
     OIL_FALL,
-    STORE_YEAR_TABLES,
     city_period_sensitivity,
     sales_city_period,
 )
@@ -27,7 +27,7 @@ from storesales.plans.findings import summary
 from storesales.plans.measures import DAY_FAMILY, STORE_YEAR, Measures
 from storesales.sources.csv import load_all
 from storesales.sources.schemas import TECHNICAL_KEYS
-from storesales.sources.shared import checkpoint
+from storesales.sources.shared import checkpoint, concurrently
 from storesales.sources.sizing import size_shuffles
 from storesales.sources.sinks import Sink, export_all, write_report
 
@@ -58,7 +58,10 @@ def profile_stage(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame], out:
 
 def clean_stage(raw: dict[str, DataFrame], out: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """Clean all raw tables; returns them with their metrics."""
-    cleaned = {name: checkpoint(clean_table(name, raw[name]), f"{out}/clean/{name}") for name in CLEANERS}
+    spark = raw["train"].sparkSession
+    cleaned = concurrently(
+        spark, lambda name: checkpoint(clean_table(name, raw[name]), f"{out}/clean/{name}"), CLEANERS
+    )
     metrics = checkpoint(metrics_table(raw, cleaned), f"{out}/reports/metricas_limpieza_tabla")
     write_report(metrics_report(metrics), f"{out}/reports/metricas_limpieza")
     return cleaned, metrics
@@ -87,14 +90,21 @@ def analyse_stage(
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Write all analytic tables and the summary, from two scans of the wide table."""
     rows = Measures.of(consolidated, scale, oil_scale)
-    grains = {"dia_familia": (DAY_FAMILY, DAY_FAMILY_TABLES), "tienda_anio": (STORE_YEAR, STORE_YEAR_TABLES)}
-    tables = {}
-    for grain, (keys, makers) in grains.items():
-        sums = rows.on(checkpoint(rows.rollup(*keys).frame, f"{out}/rollups/{grain}"))
-        for name, make in makers.items():
-            dated = make in (sales_city_period, city_period_sensitivity)
-            table = make(sums, years) if dated else make(sums)
-            tables[name] = checkpoint(table, f"{out}/tables/{name}")
+    grains = {"dia_familia": DAY_FAMILY, "tienda_anio": STORE_YEAR}
+    spark = consolidated.sparkSession
+
+    def rollup(grain: str) -> Measures:
+        return rows.on(checkpoint(rows.rollup(*grains[grain]).frame, f"{out}/rollups/{grain}"))
+
+    sums = concurrently(spark, rollup, grains)
+
+    def table(name: str) -> DataFrame:
+        make = ANALYTIC_TABLES[name]
+        source = sums["dia_familia" if name in DAY_FAMILY_TABLES else "tienda_anio"]
+        dated = make in (sales_city_period, city_period_sensitivity)
+        return checkpoint(make(source, years) if dated else make(source), f"{out}/tables/{name}")
+
+    tables = concurrently(spark, table, ANALYTIC_TABLES)
     findings = checkpoint(summary(tables, years), f"{out}/reports/eda_profundo_tabla")
     write_report(findings, f"{out}/reports/eda_profundo")
     return tables, findings

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from storesales.functions.casts import INTEGERS, WHOLE_NUMBER
 from storesales.sources.schemas import EXPECTED_TYPES, RAW_FILES
-from storesales.sources.shared import checkpoint
+from storesales.sources.shared import checkpoint, concurrently
 
 MALFORMED = "__malformed"
 
@@ -128,11 +128,15 @@ def load_all(
 ) -> dict[str, DataFrame]:
     """Load all tables into Parquet under ``out_dir``; on any failure write nothing and name them all."""
     loaded, failures = {}, {}
-    for name, file in RAW_FILES.items():
+
+    def load(name: str) -> None:
         try:
-            loaded[name] = settle_types(read_csv(spark, name, f"{source_dir}/{file}", multi_line), name)
+            text = read_csv(spark, name, f"{source_dir}/{RAW_FILES[name]}", multi_line)
+            loaded[name] = settle_types(text, name)
         except Exception as exc:  # every table gets its turn before the load gives up
             failures[name] = str(exc)
+
+    concurrently(spark, load, RAW_FILES)
     if failures:
         raise LoadError(failures)
-    return {name: checkpoint(df, f"{out_dir}/{name}") for name, df in loaded.items()}
+    return concurrently(spark, lambda name: checkpoint(loaded[name], f"{out_dir}/{name}"), RAW_FILES)

@@ -4,11 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Independent jobs submitted at a time, so that small ones use what a large one leaves idle.
+JOBS_AT_ONCE = 8
+
+Key = TypeVar("Key")
+Result = TypeVar("Result")
+
+
+def concurrently(
+    spark: SparkSession, make: Callable[[Key], Result], keys: Iterable[Key]
+) -> dict[Key, Result]:
+    """``make`` of each key, each running its Spark jobs from a thread of its own."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        # Wrapped one by one: each thread needs its own copy of the local properties.
+        started = {key: pool.submit(inheritable_thread_target(spark)(make), key) for key in keys}
+        return {key: job.result() for key, job in started.items()}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a local session without one gets a temporary folder."""

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from storesales.sources.shared import concurrently
+
 logger = logging.getLogger(__name__)
 
 Sink = Callable[[DataFrame, str], None]
@@ -98,6 +100,5 @@ def export_all(
             logger.warning("nothing to export as %s", name)
         else:
             outgoing[name] = df
-    for name, df in outgoing.items():
-        sink(df, name)
+    concurrently(consolidated.sparkSession, lambda name: sink(outgoing[name], name), outgoing)
     return list(outgoing)

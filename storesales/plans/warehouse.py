@@ -14,7 +14,7 @@ from storesales.fixtures import OIL_SCALE, RAW, SALES_SCALE
 from storesales.plans.clean import CLEANERS, clean_table
 from storesales.plans.consolidate import consolidate
 from storesales.plans.measures import Measures
-from storesales.sources.shared import checkpoint, new_path
+from storesales.sources.shared import checkpoint, concurrently, new_path
 from storesales.sources.sizing import size_shuffles
 
 # (application, data folder, table) -> (path, schema) of what is written.
@@ -52,13 +52,13 @@ class Warehouse:
         return self._once(f"raw-{name}", lambda: RAW[name](self.spark, self.sf_dir))
 
     def all_raw(self) -> dict[str, DataFrame]:
-        return {name: self.raw(name) for name in RAW}
+        return concurrently(self.spark, self.raw, RAW)
 
     def clean(self, name: str) -> DataFrame:
         return self._once(f"clean-{name}", lambda: clean_table(name, self.raw(name)))
 
     def all_clean(self) -> dict[str, DataFrame]:
-        return {name: self.clean(name) for name in CLEANERS}
+        return concurrently(self.spark, self.clean, CLEANERS)
 
     def joined(self) -> DataFrame:
         """The consolidated table as a plan over the clean tables, not yet written."""

@@ -13,6 +13,9 @@ from storesales.queries import queries
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 STAR_TABLES = ["region", "nation", "supplier", "part", "orders", "lineitem"]
 
+# Cross joins and Python workers have no place in any plan.
+UNWANTED = ["CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -41,6 +44,8 @@ def _plain(value):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(spark, duck, name):
     result = queries()[name](spark, SF_DIR)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in UNWANTED if node in plan]
     columns = sorted(result.columns)
     found = [tuple(_plain(v) for v in row) for row in result.select(*[f"`{c}`" for c in columns]).collect()]
     expected = duck.sql(oracle_sql()[name])
@@ -48,3 +53,18 @@ def test_query_equals_sql(spark, duck, name):
     order = [expected.columns.index(c) for c in columns]
     wanted = [tuple(_plain(row[i]) for i in order) for row in expected.fetchall()]
     assert sorted(found, key=_sortable) == sorted(wanted, key=_sortable)
+
+
+def test_only_used_columns_are_read(spark):
+    plan = queries()["sales_by_family"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<family:string,sales:double>" in plan
+
+
+def test_holidays_are_filtered_at_the_scan(spark):
+    plan = queries()["sales_around_holidays"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(es_feriado,true)" in plan and "ReadSchema: struct<date:date,es_feriado:boolean>" in plan
+
+
+def test_null_counts_filter_before_the_shuffle(spark):
+    plan = queries()["cleaning_metrics"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(sales),IsNull(onpromotion))]" in plan

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from storesales.plans.retail_job import run_job
+from storesales.plans.retail_job import export_saved, run_job
 from storesales.sources.sinks import jdbc_sink, parquet_sink
 
 
@@ -20,14 +20,23 @@ def main() -> None:
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--scale", type=int, help="decimal places of sales, for exact sums")
     parser.add_argument("--oil-scale", type=int, help="decimal places of oil prices, for exact sums")
+    parser.add_argument("--multi-line", action="store_true", help="CSV fields may contain line breaks")
+    parser.add_argument("--export-only", action="store_true", help="export what an earlier run left in OUT")
     args = parser.parse_args()
+    if args.export_only and not (args.jdbc_url or args.parquet):
+        parser.error("--export-only needs --jdbc-url or --parquet")
     spark = SparkSession.builder.appName("storesales").getOrCreate()
     sink = None
     if args.jdbc_url:
         sink = jdbc_sink(args.jdbc_url, dict(p.split("=", 1) for p in args.jdbc_property))
     elif args.parquet:
         sink = parquet_sink(args.parquet)
-    run_job(spark, args.source, args.out, sink, args.scale, args.oil_scale)
+    if args.export_only:
+        export_saved(spark, args.out, sink)
+    else:
+        run_job(
+            spark, args.source, args.out, sink, args.scale, args.oil_scale, multi_line=args.multi_line
+        )
 
 
 if __name__ == "__main__":

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +111,28 @@ def analyse_stage(
     return tables, findings
 
 
+def _saved(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def export_saved(spark: SparkSession, out: str, sink: Sink) -> list[str]:
+    """Export what an earlier run left in ``out``; only the consolidated table must be there."""
+    consolidated = spark.read.parquet(f"{out}/consolidated").drop("anio")
+    found = {name: _saved(spark, f"{out}/tables/{name}") for name in ANALYTIC_TABLES}
+    return export_all(
+        sink,
+        consolidated,
+        {name: df for name, df in found.items() if df is not None},
+        _saved(spark, f"{out}/reports/calidad_datos_inicial"),
+        _saved(spark, f"{out}/reports/metricas_limpieza_tabla"),
+    )
+
+
 def run_job(
     spark: SparkSession,
     source_dir: str,
@@ -118,10 +141,11 @@ def run_job(
     scale: int | None = None,
     oil_scale: int | None = None,
     years: tuple[int, int] = OIL_FALL,
+    multi_line: bool = False,
 ) -> JobResult:
     """All stages in order, from the CSV files in ``source_dir`` to ``out`` and ``sink``."""
     size_shuffles(spark, source_dir)
-    raw = load_all(spark, source_dir, f"{out}/raw")
+    raw = load_all(spark, source_dir, f"{out}/raw", multi_line)
     cleaned, metrics = clean_stage(raw, out)
     quality = profile_stage(raw, cleaned, out)
     consolidated = consolidate_stage(cleaned, out)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
-BYTES_PER_PARTITION = 256 * 1024 * 1024
+# Of the stored, compressed files; in memory it is several times as much.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
 
 # Beyond this the number of shuffle blocks costs more than larger partitions do.
 MOST_PARTITIONS = 100_000

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from storesales.fixtures import FIXTURE_FALL, OIL_SCALE, RAW, SALES_SCALE
 from storesales.plans.clean import CLEANERS
-from storesales.plans.retail_job import run_job
+from storesales.plans.retail_job import export_saved, run_job
 from storesales.plans.warehouse import Warehouse, _written
 from storesales.queries import queries
 from storesales.sources.csv import LoadError, load_all, read_csv, settle_types
@@ -201,6 +201,19 @@ def test_job_exports_eighteen_tables(spark, job):
     assert exported.count() == result.cleaned["train"].count()
 
 
+def test_an_earlier_run_can_be_exported_again(spark, job, tmp_path, caplog):
+    result, folder = job
+    sent = {}
+    names = export_saved(spark, f"{folder}/out", lambda df, name: sent.update({name: df}))
+    assert len(names) == 18 and set(names) == set(sent)
+    assert sent["ventas_consolidado"].columns == result.consolidated.columns
+    assert sent["metricas_limpieza"].count() == 5
+    spark.range(3).write.parquet(f"{tmp_path}/consolidated")
+    with caplog.at_level(logging.WARNING):
+        assert export_saved(spark, str(tmp_path), lambda df, name: None) == ["ventas_consolidado"]
+    assert len(caplog.records) == 3
+
+
 def read_report(folder, name):
     (part,) = (folder / "out" / "reports" / name).glob("*.json")
     return json.loads(part.read_text())

@@ -6,10 +6,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storesales.sources.shared import cut
+from storesales.sources.shared import new_path
 
 __all__ = ["cut", "id_crc32", "plan_bytes", "read", "slices", "texts_of"]
 
@@ -21,6 +22,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def cut(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage of ``df`` with a table of its own in the shared folder, packed tightly."""
+    path = new_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "doc_id") -> DataFrame:
     """Only the id (as ``name``) and the text (null: empty), so other columns cannot clash."""
     return docs.select(F.col(id_col).alias(name), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -42,7 +50,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
             before = int(ends[start - 1]) if start else 0

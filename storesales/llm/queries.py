@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from storesales.llm.chat import END, START, maximal_conversations
 from storesales.llm.common import read
 from storesales.llm.exact_dedup import exact_dedup
+from storesales.llm.packing import pack
+from storesales.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -24,6 +34,8 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_token_counts": token_counts_query,
+        "op6_packing": packing_query,
         "op7_exact_dedup": exact_dedup_query,
         "op9_chat_format": chat_query,
     }

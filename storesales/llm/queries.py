@@ -10,12 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from storesales.llm.chat import END, START, maximal_conversations
 from storesales.llm.common import read
 from storesales.llm.exact_dedup import exact_dedup
+from storesales.llm.language import identify
 from storesales.llm.packing import pack
+from storesales.llm.quality import score_quality
 from storesales.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,10 +44,12 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality": quality_query,
         "op2_token_counts": token_counts_query,
         "op6_packing": packing_query,
         "op7_exact_dedup": exact_dedup_query,
         "op9_chat_format": chat_query,
+        "op10_language": language_query,
     }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from storesales.llm.chat import END, START, maximal_conversations
 from storesales.llm.common import read
 from storesales.llm.exact_dedup import exact_dedup
+from storesales.llm.html_text import extract
 from storesales.llm.language import identify
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
@@ -30,6 +31,10 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
@@ -46,6 +51,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality": quality_query,
         "op2_token_counts": token_counts_query,
+        "op5_html_text": html_query,
         "op6_packing": packing_query,
         "op7_exact_dedup": exact_dedup_query,
         "op9_chat_format": chat_query,

@@ -11,6 +11,7 @@ from storesales.llm.chat import END, START, maximal_conversations
 from storesales.llm.common import read
 from storesales.llm.exact_dedup import exact_dedup
 from storesales.llm.html_text import extract
+from storesales.llm.jaccard_join import jaccard_components
 from storesales.llm.language import identify
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
@@ -31,6 +32,10 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
@@ -51,6 +56,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality": quality_query,
         "op2_token_counts": token_counts_query,
+        "op4_jaccard_join": jaccard_query,
         "op5_html_text": html_query,
         "op6_packing": packing_query,
         "op7_exact_dedup": exact_dedup_query,

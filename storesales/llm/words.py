@@ -14,6 +14,9 @@ SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+# Bytes hashed at a time.
+BLOCK_BYTES = 1 << 20
+
 _POWERS = 1 << 16
 _BYTE_CODES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWER_CODES = np.cumprod(np.full(_POWERS, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64)
@@ -48,13 +51,19 @@ def words_of(texts: list[str], lower: bool = False) -> Words:
     edges = np.diff(inside.astype(np.int8), prepend=0)
     starts = np.flatnonzero(edges == 1)
     lengths = np.flatnonzero(edges == -1) - starts  # the last line feed closes the last word
-    if len(starts):
-        firsts = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
-        codes = _BYTE_CODES[data[inside]] * _POWER_CODES[place % _POWERS]
-        hashes = mix(np.add.reduceat(codes, firsts) + lengths.astype(np.uint64))
-    else:
-        hashes = np.empty(0, np.uint64)
+    hashes = np.empty(len(starts), np.uint64)
+    ends = np.cumsum(lengths)
+    i = 0
+    while i < len(starts):  # in blocks, since the codes take many times the place of the bytes
+        before = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
+        some = lengths[i:j]
+        firsts = np.cumsum(some) - some
+        place = np.arange(int(some.sum())) - np.repeat(firsts, some)
+        span = slice(int(starts[i]), int(starts[j - 1] + lengths[j - 1]))
+        codes = _BYTE_CODES[data[span][inside[span]]] * _POWER_CODES[place % _POWERS]
+        hashes[i:j] = mix(np.add.reduceat(codes, firsts) + some.astype(np.uint64))
+        i = j
     return Words(data, text_starts, starts, lengths, hashes, np.searchsorted(starts, text_starts))
 
 

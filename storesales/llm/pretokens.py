@@ -65,12 +65,13 @@ class PretokenCache(dict):
 
     def learn(self, words) -> None:
         """Encode those of ``words`` that are not held yet."""
-        missing = [w for w in set(words) if w not in self]
+        words = set(words)
+        missing = [w for w in words if w not in self]
         if not missing:
             return
         if len(self) + len(missing) > self.limit + len(self.first):
             self.clear()
             self.update(self.first)
-            missing = [w for w in set(words) if w not in self]
+            missing = [w for w in words if w not in self]
         found = tokenizer(self.path).encode_batch_fast(missing, add_special_tokens=False)
         self.update(zip(missing, (self.make(e.ids) for e in found), strict=True))

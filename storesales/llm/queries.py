@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storesales.llm.chat import END, START, maximal_conversations
 from storesales.llm.common import read
+from storesales.llm.embedding_links import embedding_links
 from storesales.llm.exact_dedup import exact_dedup
 from storesales.llm.html_text import extract
 from storesales.llm.jaccard_join import jaccard_components
@@ -48,6 +49,10 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def embedding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(read(spark, sf_dir, "embeddings"))
+
+
 def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maximal_conversations(read(spark, sf_dir, "conversations"))
 
@@ -60,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op5_html_text": html_query,
         "op6_packing": packing_query,
         "op7_exact_dedup": exact_dedup_query,
+        "op8_embedding_links": embedding_query,
         "op9_chat_format": chat_query,
         "op10_language": language_query,
     }

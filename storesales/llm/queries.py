@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storesales.llm.chat import END, START, maximal_conversations
 from storesales.llm.common import read
@@ -16,6 +17,7 @@ from storesales.llm.jaccard_join import jaccard_components
 from storesales.llm.language import identify
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
+from storesales.llm.sentence_pieces import decode, encode
 from storesales.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,18 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def sentence_piece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the text that comes back from them."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return decode(encode(read(spark, sf_dir, "documents"), path), path).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 
@@ -61,6 +75,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality": quality_query,
         "op2_token_counts": token_counts_query,
+        "op3_sentence_pieces": sentence_piece_query,
         "op4_jaccard_join": jaccard_query,
         "op5_html_text": html_query,
         "op6_packing": packing_query,

@@ -29,12 +29,14 @@ def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels of those at hand, takes for good."""
-    return _keep(docs, score_quality(docs, read(spark, sf_dir, "labels")).where("predicted = 1"))
+    scored = score_quality(docs.select(*COLUMNS), read(spark, sf_dir, "labels"), carry=True)
+    return scored.where("predicted = 1").select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those that are of no language for the most part go."""
-    return _keep(docs, identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)))
+    judged = identify(docs.select(*COLUMNS), carry=True)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

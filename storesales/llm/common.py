@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storesales.sources.shared import new_path
 
-__all__ = ["cut", "id_crc32", "plan_bytes", "read", "slices", "texts_of"]
+__all__ = ["carried", "cut", "id_crc32", "plan_bytes", "read", "slices", "texts_of", "type_of"]
 
 # Text handled at a time inside a Python task; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -29,9 +29,20 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "doc_id") -> DataFrame:
-    """Only the id (as ``name``) and the text (null: empty), so other columns cannot clash."""
-    return docs.select(F.col(id_col).alias(name), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``doc_id`` and ``text`` (null: empty) only, so other columns cannot clash; with ``carry`` all columns in a struct ``row``."""
+    columns = [F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
+    return docs.select(*columns, *([F.struct(*docs.columns).alias("row")] if carry else []))
+
+
+def type_of(df: DataFrame, column: str) -> str:
+    """A column's type as it is written in a schema."""
+    return df.schema[column].dataType.simpleString()
+
+
+def carried(batch: pa.RecordBatch) -> tuple[list[pa.Array], list[str]]:
+    """The column ``row`` and its name, if the batch has it."""
+    return ([batch.column("row")], ["row"]) if "row" in batch.schema.names else ([], [])
 
 
 def id_crc32(column: Column) -> Column:

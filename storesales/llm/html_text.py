@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import slices
+from storesales.llm.common import slices, type_of
 
 # Elements whose text is never read.
 _RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
@@ -270,7 +270,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(html_col, F.lit("")).alias("text")
     )
-    kind = rows.schema["page_id"].dataType.simpleString()
+    kind = type_of(rows, "page_id")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import cut, plan_bytes, slices, texts_of
+from storesales.llm.common import cut, plan_bytes, slices, texts_of, type_of
 from storesales.llm.components import components
 from storesales.llm.words import run_hashes, words_of
 
@@ -251,7 +251,7 @@ def jaccard_components(
     1e9 sets the chance of any wrong one is about 3 %. Other columns are not read.
     """
     texts = texts_of(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    kind = type_of(texts, "doc_id")
     wanted = max(1, plan_bytes(docs) // BYTES_PER_COUNTER)
     bits = int(math.log2(min(MOST_COUNTERS, max(FEWEST_COUNTERS, wanted))))
     scanned = _sets_and_counts(texts, kind, n, bits)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import id_crc32, slices, texts_of
+from storesales.llm.common import carried, id_crc32, slices, texts_of, type_of
 
 # Hashed byte trigrams; the model has this many numbers per language.
 SLOT_BITS = 16
@@ -139,6 +139,7 @@ def identify(
     lang_col: str = "lang",
     folds: int = 4,
     held_out: int = 2,
+    carry: bool = False,
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, langs, shares`` of every whole text.
 
@@ -151,16 +152,19 @@ def identify(
     NULL texts and those without a letter are ``und`` with score 0 and no set,
     and so is everything if there is nothing to learn from. NULL ids belong to
     no held-out fold. Repeated rows are judged, and learned from, each; an empty
-    table gives an empty result. Other columns are not read.
+    table gives an empty result. Other columns are only read with ``carry``,
+    which returns every document whole in a struct ``row``.
     """
     fold = F.coalesce(id_crc32(F.col(id_col)) % folds, F.lit(-1))
     labelled = docs.where(F.col(lang_col).isNotNull() & (fold != held_out))
-    names, model = learn(texts_of(labelled, lang_col, text_col, "lang").withColumn("lang", F.col("lang").cast("string")))
-    shared = docs.sparkSession.sparkContext.broadcast((names, model))
-    texts = docs.select(
-        F.col(id_col).alias("doc_id"), (fold == held_out).alias("held_out"), F.coalesce(text_col, F.lit("")).alias("text")
+    names, model = learn(
+        texts_of(labelled, lang_col, text_col).select(F.col("doc_id").cast("string").alias("lang"), "text")
     )
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast((names, model))
+    texts = texts_of(docs, id_col, text_col, carry)
+    schema = f"doc_id {type_of(texts, 'doc_id')}, lang_pred string, score double, langs array<string>, shares array<double>"
+    if carry:
+        schema += f", row {type_of(texts, 'row')}"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, model = shared.value
@@ -189,19 +193,19 @@ def identify(
                     held = 0
             flush()
             sets = [[] if s is None else [j for j in np.argsort(-s, kind="stable") if s[j] > 0] for s in found]
+            more, more_names = carried(batch)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    batch.column("held_out"),
                     pa.array([names[s[0]] if s else UNKNOWN for s in sets], pa.string()),
                     pa.array([min(1.0, float(f[s[0]])) if s else 0.0 for f, s in zip(found, sets, strict=True)], pa.float64()),
                     pa.array([[names[j] for j in s] for s in sets], pa.list_(pa.string())),
                     pa.array([[float(f[j]) for j in s] for f, s in zip(found, sets, strict=True)], pa.list_(pa.float64())),
+                    *more,
                 ],
-                ["doc_id", "held_out", "lang_pred", "score", "langs", "shares"],
+                ["doc_id", "lang_pred", "score", "langs", "shares", *more_names],
             )
 
-    return texts.mapInArrow(
-        judge,
-        f"doc_id {kind}, held_out boolean, lang_pred string, score double, langs array<string>, shares array<double>",
-    )
+    judged = texts.mapInArrow(judge, schema)
+    fold = F.coalesce(id_crc32(F.col("doc_id")) % folds, F.lit(-1))
+    return judged.withColumn("held_out", fold == held_out).select("doc_id", "held_out", *judged.columns[1:])

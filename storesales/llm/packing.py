@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storesales.llm.common import cut, slices, texts_of
+from storesales.llm.common import cut, slices, texts_of, type_of
 from storesales.llm.pretokens import BYTE_LEVEL, PLAIN, PretokenCache, tokenizer
 
 # Dimensions of the projected document vectors, and bits of each in the curve's key.
@@ -108,7 +108,7 @@ def pack(
     each. An empty table gives an empty result. Other columns are ignored.
     """
     texts = texts_of(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    kind = type_of(texts, "doc_id")
     end = np.array([end_id], IDS).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

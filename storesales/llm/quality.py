@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import id_crc32, slices, texts_of
+from storesales.llm.common import carried, id_crc32, slices, texts_of, type_of
 from storesales.llm.words import mix, run_hashes, words_of
 
 # The bounded sample of labelled documents to train on, and the longest of them in lines.
@@ -229,6 +229,7 @@ def score_quality(
     text_col: str = "text",
     folds: int = 5,
     threshold: float = 0.3,
+    carry: bool = False,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, n_lines, n_good_lines`` of every whole text.
 
@@ -242,14 +243,17 @@ def score_quality(
     NULL, empty and blank texts have score 0. Without labels of both kinds the
     score of other texts is the share of good labels, or 0.5 without any. NULL
     ids are never held out. Repeated rows are scored each; an empty table gives
-    an empty result. Other columns are not read.
+    an empty result. Other columns are only read with ``carry``, which returns
+    every document whole in a struct ``row``, so that none is joined again.
     """
     lines, known = _sample(docs, labels, id_col, text_col, folds)
     constant = float(known.mean()) if len(known) else 0.5
     model = train(lines, known) if len(set(known.tolist())) == 2 else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    texts = texts_of(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    texts = texts_of(docs, id_col, text_col, carry)
+    schema = f"doc_id {type_of(texts, 'doc_id')}, score double, predicted int, n_lines long, n_good_lines long"
+    if carry:
+        schema += f", row {type_of(texts, 'row')}"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -262,6 +266,7 @@ def score_quality(
             totals = np.concatenate([[[0.0, 0.0, 0.0]], np.cumsum(np.stack([good * lines.lengths, lines.lengths, good >= 0.5], 1), 0)])
             sums = np.diff(totals[lines.bounds], axis=0)
             scores = np.divide(sums[:, 0], sums[:, 1], out=np.zeros(len(sums)), where=sums[:, 1] > 0).clip(0, 1)
+            more, names = carried(batch)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -269,10 +274,11 @@ def score_quality(
                     pa.array((scores >= threshold).astype(np.int32)),
                     pa.array(np.diff(lines.bounds).astype(np.int64)),
                     pa.array(sums[:, 2].round().astype(np.int64)),
+                    *more,
                 ],
-                ["doc_id", "score", "predicted", "n_lines", "n_good_lines"],
+                ["doc_id", "score", "predicted", "n_lines", "n_good_lines", *names],
             )
 
-    scored = texts.mapInArrow(judge, f"doc_id {kind}, score double, predicted int, n_lines long, n_good_lines long")
+    scored = texts.mapInArrow(judge, schema)
     held_out = F.coalesce(id_crc32(F.col("doc_id")) % folds == 0, F.lit(False))
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_lines", "n_good_lines")
+    return scored.withColumn("held_out", held_out).select("doc_id", "held_out", *scored.columns[1:])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import slices, texts_of
+from storesales.llm.common import slices, texts_of, type_of
 
 #: Fixed value: the character that stands for a blank inside pieces.
 BLANK = "▁"
@@ -190,7 +190,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     looked up in a bounded cache of the worker, and nothing is shuffled.
     """
     texts = texts_of(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    kind = type_of(texts, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer.of(path)
@@ -204,7 +204,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, text``: the texts of ids that ``encode`` made; NULL ids give an empty text."""
     rows = encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind = type_of(rows, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer.of(path)

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import slices, texts_of
+from storesales.llm.common import slices, texts_of, type_of
 from storesales.llm.pretokens import PLAIN, WORD_ENDS, PretokenCache, tokenizer
 
 # Rows of the broadcast table; with words of ordinary length it stays below 1 MB.
@@ -91,7 +91,7 @@ def count_tokens(
     result. Other columns are not read.
     """
     texts = texts_of(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    kind = type_of(texts, "doc_id")
     shared = docs.sparkSession.sparkContext.broadcast(pack_table(frequent_pretokens(texts, frequent), path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

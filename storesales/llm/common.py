@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storesales.sources.shared import new_path
 
-__all__ = ["carried", "cut", "id_crc32", "plan_bytes", "read", "slices", "texts_of", "type_of"]
+__all__ = ["carried", "cut", "id_crc32", "plan_bytes", "read", "slices", "small_enough", "texts_of", "type_of"]
 
 # Text handled at a time inside a Python task; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -29,6 +29,11 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_enough(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has no more rows than that, else as it is; meant for written tables of narrow rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty) only, so other columns cannot clash; with ``carry`` all columns in a struct ``row``."""
     columns = [F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]

@@ -253,7 +253,7 @@ def main_text(html: str) -> str:
         for node in range(1, size):
             if page.parents[node] == page.parents[best] and chars[node]:
                 paragraph = page.tags[node] in _LEAVES and chars[node] > 80 and linked[node] < 0.25 * chars[node]
-                keep[node] = keep[node] or paragraph or net[node] >= max(3.0, 0.2 * net[best])
+                keep[node] = keep[node] or paragraph or net[node] >= 0.2 * net[best]
     for node in range(1, size):
         keep[node] = keep[node] or keep[page.parents[node]]
     return "\n".join(text for node, text, _ in page.blocks if keep[node])

@@ -12,18 +12,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storesales.llm.common import cut, plan_bytes, slices, texts_of, type_of
+from storesales.llm.common import cut, plan_bytes, slices, small_enough, texts_of, type_of
 from storesales.llm.components import components
-from storesales.llm.words import run_hashes, words_of
+from storesales.llm.words import mix, run_hashes, words_of
 
 # Counters of the frequency table: one per this many bytes of input, within these bounds.
-BYTES_PER_COUNTER = 128
+BYTES_PER_COUNTER = 64
 FEWEST_COUNTERS, MOST_COUNTERS = 1 << 14, 1 << 26
 PART = 1 << 14
 
 # Entries that a map task holds before it hands them on, and sets it remembers to skip copies.
 HELD_ENTRIES, HELD_SETS = 1 << 20, 1 << 18
 
+# Rows of ids up to which a table is broadcast rather than shuffled with texts.
+BROADCAST_ROWS = 2_000_000
+
 # One in so many sets of a level is a hub of the next.
 FAN = 8
 
@@ -107,7 +110,10 @@ def _levels(counts: DataFrame, bits: int) -> np.ndarray:
 
 
 def _shared_prefixes(texts: DataFrame, levels: np.ndarray, bits: int, n: int, percent: int) -> DataFrame:
-    """``token, sid, n``: the n-grams in the prefixes of two different sets or more.
+    """``bucket, sid, n, at``: the n-grams in the prefixes of two different sets or more.
+
+    ``at`` is an n-gram's place in its set. All n-grams of the same sets have
+    the same ``bucket``, a hash of these, and are counted together afterwards.
 
     The order of n-grams is (frequency level, hash). It is cut into fragments
     by hash, so each fragment holds a slice of every level; a fragment's
@@ -129,13 +135,14 @@ def _shared_prefixes(texts: DataFrame, levels: np.ndarray, bits: int, n: int, pe
             sids = np.repeat(np.array([s for _, s, _ in held], np.int64), lengths)
             sizes = np.repeat(np.array([k for _, _, k in held], np.int64), lengths)
             fragment = (tokens % np.uint64(fragments)).astype(np.int64)
+            places = np.concatenate([np.arange(k) for k in lengths])
             order = np.argsort(fragment, kind="stable")
             cuts = np.searchsorted(fragment[order], np.arange(fragments + 1))
             for f in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[f] : cuts[f + 1]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(f)], pa.int32()), *(pa.array([x[at].tobytes()], pa.binary()) for x in (tokens, sids, sizes))],
-                    ["fragment", "tokens", "sids", "sizes"],
+                    [pa.array([int(f)], pa.int32()), *(pa.array([x[at].tobytes()], pa.binary()) for x in (tokens, sids, sizes, places))],
+                    ["fragment", "tokens", "sids", "sizes", "places"],
                 )
 
         for batch in slices(batches):
@@ -157,49 +164,72 @@ def _shared_prefixes(texts: DataFrame, levels: np.ndarray, bits: int, n: int, pe
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for batch in batches:
-            for f, *packed in zip(*(batch.column(c).to_pylist() for c in ("fragment", "tokens", "sids", "sizes")), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("fragment", "tokens", "sids", "sizes", "places"))
+            for f, *packed in zip(*columns, strict=True):
                 held.setdefault(f, []).append(packed)
         while held:
             parts = held.popitem()[1]
-            tokens, sids, sizes = (np.frombuffer(b"".join(p[i] for p in parts), np.int64) for i in range(3))
+            tokens, sids, sizes, places = (np.frombuffer(b"".join(p[i] for p in parts), np.int64) for i in range(4))
             order = np.lexsort((sids, tokens))
-            tokens, sids, sizes = tokens[order], sids[order], sizes[order]
+            tokens, sids, sizes, places = tokens[order], sids[order], sizes[order], places[order]
             fresh = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (sids[1:] != sids[:-1])])
-            tokens, sids, sizes = tokens[fresh], sids[fresh], sizes[fresh]
+            tokens, sids, sizes, places = tokens[fresh], sids[fresh], sizes[fresh], places[fresh]
             firsts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             runs = np.diff(firsts, append=len(tokens))
             keep = np.repeat(runs > 1, runs)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (tokens, sids, sizes)], ["token", "sid", "n"])
+            same_sets = np.bitwise_xor.reduceat(mix(sids.view(np.uint64)), firsts) ^ mix(runs.astype(np.uint64))
+            buckets = np.repeat(same_sets.view(np.int64), runs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[keep]) for x in (buckets, sids, sizes, places)], ["bucket", "sid", "n", "at"]
+            )
+
+    packed = texts.mapInArrow(scan, "fragment int, tokens binary, sids binary, sizes binary, places binary")
+    met = packed.repartition(partitions, "fragment").mapInArrow(meet, "bucket long, sid long, n long, at long")
+    return cut(
+        met.groupBy("bucket", "sid", "n").agg(F.min("at").alias("at"), F.count("*").alias("weight")), "jaccard-prefixes"
+    )
+
+
+def _rest(size: str, percent: int) -> Column:
+    """N-grams of a set after its prefix."""
+    return F.ceil(F.lit(percent) * F.col(size) / 100) - 1
 
-    packed = texts.mapInArrow(scan, "fragment int, tokens binary, sids binary, sizes binary")
-    met = packed.repartition(partitions, "fragment").mapInArrow(meet, "token long, sid long, n long")
-    return cut(met, "jaccard-prefixes")
 
+def _needed(percent: int) -> Column:
+    """N-grams that sets of ``na`` and ``nb`` must share to link."""
+    return F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
 
-def _candidates(entries: DataFrame, level: int, percent: int) -> DataFrame:
+
+def _candidates(entries: DataFrame, prefixes: DataFrame, level: int, percent: int) -> DataFrame:
     """``a, b``: pairs of a hub of this level and a set of no higher one, in different components, that may link.
 
-    Partial overlaps are counted per fragment and n-gram and summed per pair.
-    What a pair can share outside the prefixes is bounded by the longer rest.
+    The first n-gram that linked sets share has in both at least as many
+    n-grams from it on as they must share, so only such places meet. The pairs'
+    partial overlaps, which were counted per fragment, are then summed; what
+    they can share outside the prefixes is bounded by the longer rest.
     """
-    hubs = entries.where(F.col("level") == level).select(
-        "token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")
-    )
-    members = entries.where(F.col("level") <= level).select(
-        "token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("level").alias("lb")
-    )
+
+    def side(mark: str) -> list[Column]:
+        names = {"sid": mark, "n": f"n{mark}", "comp": f"c{mark}", "level": f"l{mark}", "at": f"at_{mark}", "shared": f"s{mark}"}
+        return [F.col("bucket"), *(F.col(c).alias(name) for c, name in names.items())]
+
+    hubs = entries.where(F.col("level") == level).select(side("a"))
+    members = entries.where(F.col("level") <= level).select(side("b"))
+    longer = F.greatest(_rest("na", percent), _rest("nb", percent))
     near = (
         (F.col("ca") != F.col("cb"))
         & ((F.col("lb") < level) | (F.col("a") < F.col("b")))
         & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        & (F.col("at_a") + _needed(percent) <= F.col("na"))
+        & (F.col("at_b") + _needed(percent) <= F.col("nb"))
+        & (F.least("sa", "sb") + longer >= _needed(percent))
     )
-    partial = hubs.join(members, "token").where(near).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("partial"))
-
-    def rest(size: str) -> Column:
-        return F.ceil(F.lit(percent) * F.col(size) / 100) - 1
-
-    needed = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
-    return partial.where(F.col("partial") + F.greatest(rest("na"), rest("nb")) >= needed).select("a", "b")
+    pairs = hubs.join(members, "bucket").where(near).select("a", "b", "na", "nb").distinct()
+    left = prefixes.select(F.col("sid").alias("a"), F.col("parts").alias("pa"))
+    right = prefixes.select(F.col("sid").alias("b"), F.col("parts").alias("pb"))
+    common = F.array_intersect("pa", "pb")
+    partial = F.aggregate(common, F.lit(0).cast("long"), lambda total, part: total + part["weight"])
+    return pairs.join(left, "a").join(right, "b").where(partial + longer >= _needed(percent)).select("a", "b")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -217,7 +247,7 @@ def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
     left = texts.select(F.col("sid").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("sid").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
+    return right.join(small_enough(pairs, BROADCAST_ROWS), "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long")
 
 
 def jaccard_components(
@@ -268,20 +298,40 @@ def jaccard_components(
 
 def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """``sid, comp`` of the sets that share a prefix n-gram with another."""
-    largest = entries.groupBy("token").count().agg(F.max("count").alias("m")).first()["m"]
+    largest = entries.groupBy("bucket").count().agg(F.max("count").alias("m")).first()["m"]
     level = F.lit(0)
     top = 0
     while largest and FAN**top < largest:
         top += 1
         level = F.when(F.pmod(F.xxhash64("sid"), F.lit(FAN**top)) == 0, top).otherwise(level)
-    labels = cut(entries.select("sid").distinct().withColumn("comp", F.col("sid")), "jaccard-labels")
+    # The list is one set's own prefix, so it grows with that text only.
+    parts = F.collect_list(F.struct("bucket", "weight"))
+    prefixes = cut(
+        entries.groupBy("sid").agg(F.sum("weight").alias("shared"), parts.alias("parts")), "jaccard-shared"
+    )
+    labels = cut(prefixes.select("sid", F.col("sid").alias("comp")), "jaccard-labels")
     if not largest:
         return labels
-    one_each = sets.join(labels.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    known = cut(texts.join(one_each, "doc_id").select("sid", "text").dropDuplicates(["sid"]), "jaccard-texts")
-    entries = entries.withColumn("level", level)
+    first = cut(
+        sets.join(small_enough(labels.select("sid"), BROADCAST_ROWS), "sid", "left_semi")
+        .groupBy("sid")
+        .agg(F.min("doc_id").alias("doc_id")),
+        "jaccard-first",
+    )
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [_set_id(s) if len(s) else None for s in shingle_sets(batch.column("text").to_pylist(), n)]
+            yield batch.filter(pa.array([a == b for a, b in zip(found, batch.column("sid").to_pylist(), strict=True)]))
+
+    # Where ids repeat with other texts, those of other sets fall away.
+    found = texts.join(small_enough(first, BROADCAST_ROWS), "doc_id").select("sid", "text")
+    known = cut(found.mapInArrow(own, "sid long, text string").dropDuplicates(["sid"]), "jaccard-texts")
+    entries = cut(
+        entries.join(prefixes.select("sid", "shared"), "sid").withColumn("level", level), "jaccard-entries"
+    )
     for j in range(top, -1, -1):
-        pairs = cut(_candidates(entries.join(labels, "sid"), j, percent), "jaccard-pairs")
+        pairs = cut(_candidates(entries.join(labels, "sid"), prefixes, j, percent), "jaccard-pairs")
         if pairs.isEmpty():
             continue
         links = cut(_links(pairs, known, n, percent), "jaccard-links")

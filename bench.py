@@ -16,7 +16,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from storesales.plans.warehouse import Warehouse
+
 from storesales.queries import FINDINGS, OPERATORS, TABLES, queries
+from storesales.sources.shared import remove_session_tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -80,6 +82,7 @@ def main() -> None:
             }
         )
     )
+    remove_session_tables(spark)
     spark.stop()
 
 

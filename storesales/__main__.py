@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from storesales.plans.analytics import OIL_FALL
 from storesales.plans.retail_job import export_saved, run_job
 from storesales.sources.sinks import jdbc_sink, parquet_sink
 
@@ -20,6 +21,9 @@ def main() -> None:
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("--scale", type=int, help="decimal places of sales, for exact sums")
     parser.add_argument("--oil-scale", type=int, help="decimal places of oil prices, for exact sums")
+    parser.add_argument(
+        "--years", type=int, nargs=2, default=OIL_FALL, metavar=("FIRST", "LAST"), help="the fall of the oil price"
+    )
     parser.add_argument("--multi-line", action="store_true", help="CSV fields may contain line breaks")
     parser.add_argument("--export-only", action="store_true", help="export what an earlier run left in OUT")
     args = parser.parse_args()
@@ -35,7 +39,7 @@ def main() -> None:
         export_saved(spark, args.out, sink)
     else:
         run_job(
-            spark, args.source, args.out, sink, args.scale, args.oil_scale, multi_line=args.multi_line
+            spark, args.source, args.out, sink, args.scale, args.oil_scale, tuple(args.years), args.multi_line
         )
 
 

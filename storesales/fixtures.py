@@ -23,10 +23,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    # The modulo only matters beyond 4e8 orders, where the key would overflow.
-    key = F.expr(
-        "((l_orderkey % 400000000 * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
-    )
+    # Even for a line itself, odd for its planted copy.
+    key = F.expr("(l_orderkey * 10 + l_linenumber) * 2")
     promoted = F.expr(
         "CASE WHEN l_orderkey % 89 = 0 THEN NULL "
         "WHEN p_brand = 'Brand#1' OR l_discount < 0.055 THEN 0 "
@@ -40,8 +38,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 97 != 0, F.col("l_extendedprice")).alias("sales"),
         promoted.alias("onpromotion"),
     )
-    copy = F.col("id") + F.lit(4000000000000000)
-    ids = F.when(F.col("id") % 50 == 0, F.array(F.col("id"), copy)).otherwise(F.array("id"))
+    ids = F.when(F.col("id") % 102 == 0, F.array(F.col("id"), F.col("id") + 1)).otherwise(F.array("id"))
     return rows.select(F.explode(ids).alias("id"), *rows.columns[1:])
 
 

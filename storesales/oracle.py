@@ -7,7 +7,7 @@ from __future__ import annotations
 
 RAW = {
     "raw_base": """
-        SELECT ((l_orderkey % 400000000 * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id,
+        SELECT (l_orderkey * 10 + l_linenumber) * 2 AS id,
                CAST(l_shipdate AS DATE) AS date,
                CAST(l_suppkey AS INT) AS store_nbr,
                p_brand AS family,
@@ -19,8 +19,8 @@ RAW = {
     "raw_train": """
         SELECT * FROM raw_base
         UNION ALL
-        SELECT id + 4000000000000000, date, store_nbr, family, sales, onpromotion
-        FROM raw_base WHERE id % 50 = 0""",
+        SELECT id + 1, date, store_nbr, family, sales, onpromotion
+        FROM raw_base WHERE id % 102 = 0""",
     "raw_store": """
         SELECT CAST(s_suppkey AS INT) AS store_nbr,
                CASE WHEN s_suppkey % 31 = 3 THEN NULL ELSE n_name END AS city,
@@ -322,7 +322,60 @@ def _cleaning_metrics() -> str:
     return " UNION ALL ".join(rows)
 
 
+# Public name of each table -> its query, and its main measure.
+PUBLIC_TABLES = {
+    "ventas_por_familia": ("sales_by_family", "ventas_totales"),
+    "ventas_por_tienda": ("sales_by_store", "ventas_totales"),
+    "ventas_promedio_por_ciudad": ("avg_sales_by_city", "ventas_promedio"),
+    "ventas_promedio_por_provincia": ("avg_sales_by_state", "ventas_promedio"),
+    "evolucion_ventas_mensual": ("sales_monthly", "ventas_totales"),
+    "evolucion_ventas_anual": ("sales_yearly", "ventas_totales"),
+    "ventas_feriado_vs_normal": ("holiday_vs_normal", "ventas_promedio"),
+    "ventas_alrededor_feriados_por_familia": ("sales_around_holidays", "ventas_promedio"),
+    "sensibilidad_familias_feriados": ("holiday_sensitivity", "variacion_porcentual"),
+    "ventas_con_sin_promocion_por_familia": ("sales_promo_split", "ventas_promedio"),
+    "efecto_promocion_por_familia": ("promo_effect", "efecto_promocion_pct"),
+    "ventas_vs_petroleo_mensual": ("sales_vs_oil_monthly", "ventas_totales"),
+    "ventas_ciudad_periodo_petroleo": ("sales_city_period", "ventas_promedio"),
+    "sensibilidad_ciudades_petroleo": ("city_period_sensitivity", "variacion_pct"),
+    "ticket_promedio_por_tienda": ("avg_ticket_by_store", "ticket_promedio"),
+}
+
+# Public name of each ranking -> its query, key and measure.
+PUBLIC_RANKINGS = {
+    "top_10_tiendas": (FINDINGS["top_stores"], "store_nbr", "ventas_totales"),
+    "bottom_10_tiendas": (FINDINGS["bottom_stores"], "store_nbr", "ventas_totales"),
+    "impacto_feriados": (TABLES["holiday_vs_normal"], "es_feriado", "ventas_totales"),
+    "familias_mas_sensibles_a_feriados": (FINDINGS["top_holiday_families"], "family", "variacion_porcentual"),
+    "familias_con_mayor_efecto_promocion": (FINDINGS["top_promo_families"], "family", "efecto_promocion_pct"),
+    "ciudades_mas_sensibles_caida_petroleo": (FINDINGS["most_sensitive_cities"], "city", "variacion_pct"),
+    "tiendas_ticket_alto": (FINDINGS["high_ticket_stores"], "store_nbr", "ticket_promedio"),
+    "tiendas_ticket_bajo": (FINDINGS["low_ticket_stores"], "store_nbr", "ticket_promedio"),
+}
+
 OPERATORS = {
+    "csv_load": "SELECT * FROM raw_train",
+    "partitioned_checkpoint": """
+        SELECT CAST(extract(year FROM date) AS INT) AS anio, count(*) AS filas
+        FROM consolidated WHERE extract(year FROM date) >= 1997 GROUP BY 1""",
+    "event_windows": """
+        SELECT e.date AS date_feriado, CAST(k.k AS INT) AS offset_dias, count(*) AS num_registros
+        FROM (SELECT DISTINCT date FROM consolidated WHERE es_feriado) e, range(-3, 4) k(k), consolidated c
+        WHERE c.date = e.date + CAST(k.k AS INT)
+        GROUP BY 1, 2""",
+    "job_tables": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, count(*) AS filas, max({value}) AS valor_maximo FROM ({TABLES[query]})"
+        for name, (query, value) in PUBLIC_TABLES.items()
+    ),
+    "summary_report": " UNION ALL ".join(
+        f"SELECT '{name}' AS hallazgo, CAST({key} AS VARCHAR) AS clave, {value} AS valor FROM ({query})"
+        for name, (query, key, value) in PUBLIC_RANKINGS.items()
+    ),
+    "exported_tables": "SELECT 'ventas_consolidado' AS tabla, count(*) AS filas FROM consolidated UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT 'eda_{name}' AS tabla, count(*) AS filas FROM ({TABLES[query]})"
+        for name, (query, _) in PUBLIC_TABLES.items()
+    ),
     "profile_tables": " UNION ALL ".join(_profile_table(n) for n in COLUMN_TYPES),
     "profile_columns": " UNION ALL ".join(_profile_columns(n) for n in COLUMN_TYPES),
     "dedup_full_row": "SELECT * FROM stores_once",
@@ -334,8 +387,8 @@ OPERATORS = {
                    AS store_nbr,
                TRY_CAST(CASE WHEN id % 13 = 0 THEN '' ELSE CAST(sales AS DECIMAL(18, 2))::VARCHAR END AS DOUBLE) AS sales,
                CASE WHEN id % 17 <> 0 THEN onpromotion > 0 END AS tiene_promocion
-        FROM raw_base""",
-    "impute_mode": "SELECT store_nbr, city, state, type FROM stores",
+        FROM raw_train""",
+    "impute_mode": "SELECT * FROM stores",
     "impute_median": "SELECT * FROM transactions",
     "interpolate_oil": "SELECT date, dcoilwtico FROM oil_linear",
     "fill_forward": "SELECT date, pv AS dcoilwtico FROM oil_sides",

@@ -7,7 +7,7 @@ conditional aggregates: one pass and one shuffle, no pivot, no self-join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storesales.functions.numeric import pct_change
@@ -73,13 +73,19 @@ def around_events(events: DataFrame, facts: DataFrame, days: int = EVENT_DAYS) -
 def sales_around_holidays(m: Measures, days: int = EVENT_DAYS) -> DataFrame:
     """Mean sales by family and day relative to a holiday.
 
-    Sales are summed per day and family first; only these sums are repeated for
-    each window they fall into. The holidays are the flagged dates that have
-    sales: a scan of two narrow columns.
+    Sales are summed per day and family first, in the only scan; these sums are
+    dealt to the days whose windows they fall into. A day is a holiday if its own
+    sales say so, so nothing is joined. A day's part of the window has a few
+    rows per family.
     """
-    daily = m.rollup("date", "family")
-    holidays = m.frame.where("es_feriado").select("date").distinct()
-    near = m.on(around_events(holidays, daily.frame, days))
+    daily = m.rollup("date", "family", "es_feriado").frame
+    offsets = F.explode(F.sequence(F.lit(-days), F.lit(days)))
+    dealt = daily.withColumn("offset_dias", offsets).withColumn(
+        "date_feriado", F.date_sub("date", F.col("offset_dias"))
+    )
+    own = F.coalesce("es_feriado", F.lit(False)) & (F.col("offset_dias") == 0)
+    flagged = dealt.withColumn("__event", F.max(own).over(Window.partitionBy("date_feriado")))
+    near = m.on(flagged.where("__event").drop("__event"))
     table = near.by("offset_dias", "family", ventas_promedio=near.mean())
     return table.orderBy("family", "offset_dias")
 

@@ -37,6 +37,8 @@ class Cleaner:
 
 def _stage_sales(raw: DataFrame) -> DataFrame:
     business = [c for c in raw.columns if c != "id"]
+    # As text, '10' would come before '9'. The minimum leaves out ids that are no number.
+    raw = safe_cast(raw, {"id": "bigint"})
     types = {"store_nbr": "int", "sales": "double", "onpromotion": "int", "family": "string"}
     return safe_cast(to_date_col(dedup_keep_first(raw, business, "id")), types)
 

@@ -119,6 +119,7 @@ def summary(tables: dict[str, DataFrame], years: tuple[int, int] = OIL_FALL) ->
             )
         )
     )
+    # The public names of the findings.
     findings = {
         "familia_mayor_volumen": F.try_element_at(_records(top_family(tables["ventas_por_familia"])), F.lit(1)),
         "top_10_tiendas": _records(top_stores(by_store)),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storesales.functions.numeric import from_units, to_units
+from storesales.functions.numeric import from_units, sum_units, to_units
 
 SUMS = ["sales_units", "sales_n", "rows_n", "oil_units", "oil_n", "traffic_sum", "traffic_n"]
 
@@ -74,18 +74,18 @@ class Measures:
 
     def total(self) -> Column:
         """Total sales; 0 where there are only NULLs."""
-        return F.coalesce(from_units(F.sum("sales_units"), self.scale), F.lit(0.0))
+        return F.coalesce(from_units(sum_units(F.col("sales_units"), self.scale), self.scale), F.lit(0.0))
 
     def mean(self, when: Column | None = None) -> Column:
         """Mean sales, of the rows that meet ``when``; NULL without any."""
         units, n = F.col("sales_units"), F.col("sales_n")
         if when is not None:
             units, n = F.when(when, units), F.when(when, n)
-        return F.try_divide(from_units(F.sum(units), self.scale), F.sum(n).cast("double"))
+        return F.try_divide(from_units(sum_units(units, self.scale), self.scale), F.sum(n).cast("double"))
 
     def mean_oil(self) -> Column:
         return F.try_divide(
-            from_units(F.sum("oil_units"), self.oil_scale), F.sum("oil_n").cast("double")
+            from_units(sum_units(F.col("oil_units"), self.oil_scale), self.oil_scale), F.sum("oil_n").cast("double")
         )
 
     def mean_traffic(self) -> Column:

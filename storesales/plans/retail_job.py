@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from storesales.operators.join import check_cardinality
 from storesales.operators.profile import column_table, profile_report, quality_table
@@ -28,7 +27,7 @@ from storesales.plans.findings import summary
 from storesales.plans.measures import DAY_FAMILY, STORE_YEAR, Measures
 from storesales.sources.csv import load_all
 from storesales.sources.schemas import TECHNICAL_KEYS
-from storesales.sources.shared import checkpoint, concurrently
+from storesales.sources.shared import checkpoint, concurrently, scratch
 from storesales.sources.sizing import size_shuffles
 from storesales.sources.sinks import Sink, export_all, write_report
 
@@ -46,13 +45,9 @@ class JobResult:
     summary: DataFrame
 
 
-def profile_stage(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame], out: str) -> DataFrame:
-    """Profile all raw tables; returns the quality table.
-
-    Cleaning removes exactly the duplicates that the profile counts, so the
-    written clean tables spare it a shuffle of every raw row.
-    """
-    quality = checkpoint(quality_table(raw, TECHNICAL_KEYS, cleaned), f"{out}/reports/calidad_datos_inicial")
+def profile_stage(raw: dict[str, DataFrame], out: str) -> DataFrame:
+    """Profile all raw tables, before and apart from cleaning; returns the quality table."""
+    quality = checkpoint(quality_table(raw, TECHNICAL_KEYS), f"{out}/reports/calidad_datos_inicial")
     write_report(profile_report(quality, column_table(raw), list(raw)), f"{out}/reports/eda_inicial")
     return quality
 
@@ -69,13 +64,12 @@ def clean_stage(raw: dict[str, DataFrame], out: str) -> tuple[dict[str, DataFram
 
 
 def consolidate_stage(cleaned: dict[str, DataFrame], out: str) -> DataFrame:
-    """Write the wide table, partitioned by year; warns if the joins changed the number of rows."""
+    """Write the wide table; warns if the joins changed the number of rows."""
     sales = cleaned["train"]
     wide = consolidate(
         sales, cleaned["stores"], cleaned["transactions"], cleaned["oil"], cleaned["holidays"]
     )
-    dated = wide.withColumn("anio", F.year("date"))
-    written = checkpoint(dated, f"{out}/consolidated", ("anio",)).select(*wide.columns)
+    written = checkpoint(wide, f"{out}/consolidated")
     rows = check_cardinality(sales, written).first()
     if not rows["preserved"]:
         logger.warning(
@@ -122,7 +116,7 @@ def _saved(spark: SparkSession, path: str) -> DataFrame | None:
 
 def export_saved(spark: SparkSession, out: str, sink: Sink) -> list[str]:
     """Export what an earlier run left in ``out``; only the consolidated table must be there."""
-    consolidated = spark.read.parquet(f"{out}/consolidated").drop("anio")
+    consolidated = spark.read.parquet(f"{out}/consolidated")
     found = {name: _saved(spark, f"{out}/tables/{name}") for name in ANALYTIC_TABLES}
     return export_all(
         sink,
@@ -144,12 +138,13 @@ def run_job(
     multi_line: bool = False,
 ) -> JobResult:
     """All stages in order, from the CSV files in ``source_dir`` to ``out`` and ``sink``."""
-    size_shuffles(spark, source_dir)
-    raw = load_all(spark, source_dir, f"{out}/raw", multi_line)
-    cleaned, metrics = clean_stage(raw, out)
-    quality = profile_stage(raw, cleaned, out)
-    consolidated = consolidate_stage(cleaned, out)
-    tables, findings = analyse_stage(consolidated, out, scale, oil_scale, years)
-    if sink is not None:
-        export_all(sink, consolidated, tables, quality, metrics)
+    with scratch(spark):
+        raw = load_all(spark, source_dir, f"{out}/raw", multi_line)
+        size_shuffles(spark, raw.values())
+        quality = profile_stage(raw, out)
+        cleaned, metrics = clean_stage(raw, out)
+        consolidated = consolidate_stage(cleaned, out)
+        tables, findings = analyse_stage(consolidated, out, scale, oil_scale, years)
+        if sink is not None:
+            export_all(sink, consolidated, tables, quality, metrics)
     return JobResult(raw, cleaned, consolidated, tables, quality, metrics, findings)

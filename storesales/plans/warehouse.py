@@ -14,14 +14,14 @@ from storesales.fixtures import OIL_SCALE, RAW, SALES_SCALE
 from storesales.plans.clean import CLEANERS, clean_table
 from storesales.plans.consolidate import consolidate
 from storesales.plans.measures import Measures
-from storesales.sources.shared import checkpoint, concurrently, new_path
+from storesales.sources.shared import checkpoint, concurrently, new_path, version
 from storesales.sources.sizing import size_shuffles
 
-# (application, data folder, table) -> (path, schema) of what is written.
+# (application, data folder, table) -> (version of the input, path, schema) of what is written.
 _written: dict[tuple[str, str, str], tuple] = {}
 
-# (application, data folder) whose size the shuffles follow.
-_sized: set[tuple[str, str]] = set()
+# The tables that all others come from.
+SOURCES = ("lineitem", "orders", "part", "supplier", "nation", "region")
 
 
 class Warehouse:
@@ -30,22 +30,20 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        folder = (spark.sparkContext.applicationId, sf_dir)
-        if folder not in _sized:
-            size_shuffles(spark, f"{sf_dir}/lineitem.parquet")
-            _sized.add(folder)
+        self.version = tuple(version(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES)
+        size_shuffles(spark, [spark.read.parquet(f"{sf_dir}/lineitem.parquet")])
 
     def _once(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
-        if key in _written:
-            path, schema = _written[key]
+        if key in _written and _written[key][0] == self.version:
+            _, path, schema = _written[key]
             try:
                 return self.spark.read.schema(schema).parquet(path)
             except AnalysisException:  # someone emptied the shared folder
                 del _written[key]
         path = new_path(self.spark, label)
         written = checkpoint(make(), path)
-        _written[key] = (path, written.schema)
+        _written[key] = (self.version, path, written.schema)
         return written
 
     def raw(self, name: str) -> DataFrame:

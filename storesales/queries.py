@@ -16,6 +16,7 @@ from storesales.operators.profile import column_table, quality_table
 from storesales.operators.series import fill_backward, fill_forward, interpolate_linear
 from storesales.plans import analytics as a
 from storesales.plans import findings as f
+from storesales.plans import whole
 from storesales.plans.clean import CLEANERS, clean_table, metrics_table
 from storesales.plans.consolidate import summarise_holidays
 from storesales.plans.warehouse import Warehouse
@@ -27,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _lenient_casts(w: Warehouse) -> DataFrame:
     """Sales as text with values that do not fit, cast back."""
     key = F.col("id")
-    text = w.raw("train").where(key < 4000000000000000).select(
+    text = w.raw("train").select(
         "id",
         F.when(key % 7 == 0, "no date").otherwise(F.col("date").cast("string")).alias("date"),
         F.when(key % 11 == 0, "x")
@@ -60,7 +61,7 @@ OPERATORS = {
         w.raw("train"), ["date", "store_nbr", "family", "sales", "onpromotion"], "id"
     ),
     "lenient_casts": _lenient_casts,
-    "impute_mode": lambda w: fill_mode(dedup(w.raw("stores")), ["city", "state", "type"]).drop("cluster"),
+    "impute_mode": lambda w: fill_mode(dedup(w.raw("stores")), ["city", "state", "type"]),
     "impute_median": lambda w: fill_median(dedup(w.raw("transactions")), ["transactions"]),
     "interpolate_oil": lambda w: interpolate_linear(_oil(w), "dcoilwtico", ["date"]),
     "fill_forward": lambda w: fill_forward(_oil(w), "dcoilwtico", ["date"]),
@@ -73,6 +74,12 @@ OPERATORS = {
     "cleaning_metrics": lambda w: metrics_table(w.all_raw(), w.all_clean()),
     "holiday_summary": lambda w: summarise_holidays(w.clean("holidays")),
     "flagship_consolidated": lambda w: w.joined(),
+    "csv_load": whole.csv_load,
+    "partitioned_checkpoint": whole.partitioned_checkpoint,
+    "event_windows": whole.event_windows,
+    "job_tables": whole.job_tables,
+    "summary_report": whole.summary_report,
+    "exported_tables": whole.exported_tables,
     "join_cardinality": lambda w: check_cardinality(w.clean("train"), w.consolidated()),
 }
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storesales.functions.casts import INTEGERS, WHOLE_NUMBER
 from storesales.sources.schemas import EXPECTED_TYPES, RAW_FILES
-from storesales.sources.shared import checkpoint, concurrently
+from storesales.sources.shared import checkpoint, concurrently, exists, move, remove
 
 MALFORMED = "__malformed"
 
@@ -56,7 +58,9 @@ def validate_columns(spark: SparkSession, name: str, path: str, expected: set[st
 def read_csv(spark: SparkSession, name: str, path: str, multi_line: bool = False) -> DataFrame:
     """The file as text columns named by its own header, with malformed records set aside.
 
-    A given schema binds by position, so the header decides the order. Text
+    A given schema binds by position, so the header decides the order. In a
+    folder of part files one header stands for all, and a file whose own header
+    differs fails when it is read. Text
     first: a value of the wrong type is then seen, not silently made NULL.
     Line breaks inside quotes need ``multi_line``, which reads each file in one
     task, so it is off by default.
@@ -71,6 +75,7 @@ def read_csv(spark: SparkSession, name: str, path: str, multi_line: bool = False
         escape='"',
         multiLine=multi_line,
         mode="PERMISSIVE",
+        enforceSchema=False,
         columnNameOfCorruptRecord=MALFORMED,
     )
 
@@ -85,7 +90,7 @@ def _fits(column: str, target: str) -> Column:
         fits = value.rlike(WHOLE_NUMBER) & value.try_cast(target).isNotNull()
     else:
         fits = value.try_cast(target).isNotNull()
-    return F.every(value.isNull() | fits)
+    return value.isNull() | fits
 
 
 def _broken(width: int) -> Column:
@@ -99,6 +104,11 @@ def _broken(width: int) -> Column:
     return (quotes % 2 == 1) | (F.size(F.split(unquoted, ",")) > width)
 
 
+def _refuse_broken(name: str, records: int) -> None:
+    if records:
+        raise ValueError(f"table '{name}' has {records} records with too many fields or an open quote")
+
+
 def settle_types(text: DataFrame, name: str) -> DataFrame:
     """Give each column its declared type if every value fits, else leave it wider or as text.
 
@@ -108,12 +118,11 @@ def settle_types(text: DataFrame, name: str) -> DataFrame:
     declared = EXPECTED_TYPES[name]
     ladders = {c: LADDERS[declared[c]] if c in declared else UNDECLARED for c in columns}
     checks = [
-        _fits(c, target).alias(f"{i}_{target}") for i, c in enumerate(columns) for target in ladders[c]
+        F.every(_fits(c, target)).alias(f"{i}_{target}") for i, c in enumerate(columns) for target in ladders[c]
     ]
     # One row of booleans.
     seen = text.agg(F.count_if(_broken(len(columns))).alias("broken"), *checks).first()
-    if seen["broken"]:
-        raise ValueError(f"table '{name}' has {seen['broken']} records with too many fields or an open quote")
+    _refuse_broken(name, seen["broken"])
 
     def typed(i: int, c: str) -> Column:
         # An empty table gives NULL: the declared type fits.
@@ -123,20 +132,52 @@ def settle_types(text: DataFrame, name: str) -> DataFrame:
     return text.select(*[typed(i, c) for i, c in enumerate(columns)])
 
 
+def write_typed(text: DataFrame, name: str, path: str) -> DataFrame:
+    """Write the table with its declared types, counting on the way what does not fit them.
+
+    If all values fit, the file is parsed once. Only a table with values that do
+    not fit is parsed again, to settle its types.
+    """
+    columns = [c for c in text.columns if c != MALFORMED]
+    declared = EXPECTED_TYPES[name]
+    ladders = {c: LADDERS[declared[c]] if c in declared else UNDECLARED for c in columns}
+    first = {c: targets[0] for c, targets in ladders.items() if targets}
+    seen = Observation()
+    misfits = [F.count_if(~_fits(c, target)).alias(f"misfits_{i}") for i, (c, target) in enumerate(first.items())]
+    observed = text.observe(seen, F.count_if(_broken(len(columns))).alias("broken"), *misfits)
+    typed = observed.select(*[F.col(c).try_cast(first[c]).alias(c) if c in first else F.col(c) for c in columns])
+    written = checkpoint(typed, path)
+    found = seen.get
+    _refuse_broken(name, found["broken"])
+    if any(found[f"misfits_{i}"] for i in range(len(first))):
+        return checkpoint(settle_types(text, name), path)
+    return written
+
+
 def load_all(
     spark: SparkSession, source_dir: str, out_dir: str, multi_line: bool = False
 ) -> dict[str, DataFrame]:
     """Load all tables into Parquet under ``out_dir``; on any failure write nothing and name them all."""
     loaded, failures = {}, {}
+    around = out_dir.rstrip("/").rpartition("/")[0]
+    new = around and not exists(spark, around)
+    aside = f"{out_dir.rstrip('/')}-loading-{uuid.uuid4().hex}"
 
     def load(name: str) -> None:
         try:
             text = read_csv(spark, name, f"{source_dir}/{RAW_FILES[name]}", multi_line)
-            loaded[name] = settle_types(text, name)
+            loaded[name] = write_typed(text, name, f"{aside}/{name}").schema
         except Exception as exc:  # every table gets its turn before the load gives up
             failures[name] = str(exc)
 
-    concurrently(spark, load, RAW_FILES)
-    if failures:
-        raise LoadError(failures)
-    return concurrently(spark, lambda name: checkpoint(loaded[name], f"{out_dir}/{name}"), RAW_FILES)
+    try:
+        concurrently(spark, load, RAW_FILES)
+        if failures:
+            if new:
+                remove(spark, around)
+            raise LoadError(failures)
+        for name in RAW_FILES:
+            move(spark, f"{aside}/{name}", f"{out_dir}/{name}")
+    finally:
+        remove(spark, aside)
+    return {name: spark.read.schema(loaded[name]).parquet(f"{out_dir}/{name}") for name in RAW_FILES}

@@ -2,39 +2,57 @@
 
 from __future__ import annotations
 
+import logging
 import math
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+logger = logging.getLogger(__name__)
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
-# Of the stored, compressed files; in memory it is several times as much.
-BYTES_PER_PARTITION = 64 * 1024 * 1024
+# Where the number is kept that this module set itself, to tell it from the user's.
+OWN_NUMBER = "storesales.shuffle.sized"
 
-# Beyond this the number of shuffle blocks costs more than larger partitions do.
+# Option: the most partitions to start with. Beyond the default the number of
+# shuffle blocks costs more than larger partitions do.
+MOST_PARTITIONS_OPTION = "storesales.shuffle.mostPartitions"
 MOST_PARTITIONS = 100_000
 
+# Of the stored, compressed files; in memory it is several times as much.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files at ``path``; the listing is read, the contents are not."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+def stored_bytes(frames: Iterable[DataFrame]) -> int:
+    """Size of the files behind plain reads, as the optimizer knows it from their listing; no job runs."""
+    return sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames)
 
 
-def size_shuffles(spark: SparkSession, path: str, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
-    """Let shuffles start with enough partitions for the files at ``path``; returns the number.
+def size_shuffles(
+    spark: SparkSession, frames: Iterable[DataFrame], bytes_per_partition: int = BYTES_PER_PARTITION
+) -> int:
+    """Let shuffles start with enough partitions for the files behind ``frames``; returns the number.
 
     Adaptive execution merges small partitions but cannot split ordinary ones,
     so the start must be high enough. A number set by the user stays, and so
-    does the session's own number where it is higher.
+    does the session's own number where it is higher. A number set here for an
+    earlier input gives way to that of this one.
     """
     chosen = spark.conf.get(INITIAL_PARTITIONS, None)
-    if chosen is not None:
+    if chosen is not None and chosen != spark.conf.get(OWN_NUMBER, None):
         return int(chosen)
     own = int(spark.conf.get(SHUFFLE_PARTITIONS))
-    wanted = min(math.ceil(stored_bytes(spark, path) / bytes_per_partition), MOST_PARTITIONS)
+    wanted = math.ceil(stored_bytes(frames) / bytes_per_partition)
+    most = int(spark.conf.get(MOST_PARTITIONS_OPTION, str(MOST_PARTITIONS)))
+    if wanted > most:
+        logger.warning("%d shuffle partitions wanted, %s allows %d", wanted, MOST_PARTITIONS_OPTION, most)
+        wanted = most
     if wanted > own:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        spark.conf.set(OWN_NUMBER, str(wanted))
+    elif chosen is not None:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        spark.conf.unset(OWN_NUMBER)
     return max(wanted, own)

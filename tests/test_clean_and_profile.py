@@ -133,3 +133,13 @@ def test_profile_from_the_cleaned_table_is_the_same(spark):
         ignore = ("id",) if name == "train" else ()
         cleaned = clean_table(name, raw)
         assert profile_table(raw, name, ignore, cleaned).collect() == profile_table(raw, name, ignore).collect()
+
+
+def test_the_smallest_id_is_a_number(spark):
+    rows = [("10", "a"), ("9", "a"), ("x", "a"), ("x", "b")]
+    raw = spark.createDataFrame(rows, "id string, family string").selectExpr(
+        "id", "'2015-01-01' AS date", "1 AS store_nbr", "family", "1.0D AS sales", "0 AS onpromotion"
+    )
+    staged = CLEANERS["train"].stage(raw)
+    assert dict(staged.dtypes)["id"] == "bigint"
+    assert sorted(((r["family"], r["id"]) for r in staged.collect()), key=str) == [("a", 9), ("b", None)]

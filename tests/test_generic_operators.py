@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from storesales.functions.casts import safe_cast, to_date_col
-from storesales.functions.numeric import pct_change, safe_corr
+from storesales.functions.numeric import from_units, pct_change, safe_corr, sum_units, to_units
 from storesales.operators.dedup import dedup, dedup_keep_first
 from storesales.operators.impute import exact_median, fill_constant, fill_median, fill_mode
 from storesales.operators.ranges import BUCKET, ROW, range_buckets
@@ -214,3 +214,13 @@ def test_equal_rows_spread_over_the_ranges(spark, many_buckets):
     assert sum(sizes) == 400 and len(sizes) == 8 and max(sizes) < 150
     order = ranged.groupBy(BUCKET).agg(F.min(ROW).alias("low"), F.max(ROW).alias("high"), F.count("*").alias("n"))
     assert order.where("low <> 0 OR high <> n - 1").count() == 0
+
+
+def test_sums_of_units_do_not_overflow(spark):
+    values = [4e16, 4e16, 4e16, -1.25, 0.5]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(to_units(F.col("v"), 2).alias("u"))
+    found = df.agg(sum_units(F.col("u"), 2).alias("s"), from_units(sum_units(F.col("u"), 2), 2).alias("d")).first()
+    assert int(found["s"]) == 12 * 10**18 - 75
+    assert found["d"] == float(12 * 10**18 - 75) / 100
+    assert df.where("false").agg(sum_units(F.col("u"), 2).alias("s")).first()["s"] is None
+    assert df.agg(sum_units(F.col("u").cast("double"), None).alias("s")).first()["s"] == float(12 * 10**18 - 75)

@@ -7,17 +7,20 @@ import json
 import logging
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storesales.fixtures import FIXTURE_FALL, OIL_SCALE, RAW, SALES_SCALE
+from storesales.plans import retail_job
 from storesales.plans.clean import CLEANERS
 from storesales.plans.retail_job import export_saved, run_job
 from storesales.plans.warehouse import Warehouse, _written
 from storesales.queries import queries
+from storesales.sources import csv
 from storesales.sources.csv import LoadError, load_all, read_csv, settle_types
 from storesales.sources.schemas import RAW_FILES
-from storesales.sources.shared import checkpoint, cut, shared_dir
+from storesales.sources.shared import checkpoint, concurrently, cut, new_path, scratch, shared_dir, version
 from storesales.sources.sizing import size_shuffles, stored_bytes
 from storesales.sources.sinks import export_all, jdbc_column_types, jdbc_options, parquet_sink, write_report
 
@@ -225,10 +228,10 @@ def test_job_json_reports(spark, job):
     assert profile["etapa"] == "eda_inicial (antes de limpiar)" and profile["generado_en"].endswith("+00:00")
     assert list(profile["archivos"]) == list(RAW_FILES)
     train = profile["archivos"]["train"]
-    assert (train["filas"], train["filas_duplicadas"], train["columnas"]) == (6545, 545, 6)
+    assert (train["filas"], train["filas_duplicadas"], train["columnas"]) == (6120, 120, 6)
     assert train["columnas_detalle"]["sales"]["tipo"] == "double"
     assert profile["archivos"]["stores"]["rango_fechas"] is None
-    assert read_report(folder, "metricas_limpieza")["train"]["duplicados_removidos"] == 545
+    assert read_report(folder, "metricas_limpieza")["train"]["duplicados_removidos"] == 120
     summary = read_report(folder, "eda_profundo")
     assert list(summary) == [
         "familia_mayor_volumen", "top_10_tiendas", "bottom_10_tiendas", "impacto_feriados",
@@ -242,6 +245,48 @@ def test_job_json_reports(spark, job):
     assert set(summary["correlacion_lag_petroleo_1997_1998"]) == {"lag_1_meses", "lag_2_meses", "lag_3_meses"}
 
 
+def test_part_files_with_other_headers_are_refused(spark, tmp_path):
+    source = put(tmp_path, **{"stores.csv": None})
+    folder = tmp_path / "stores.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("store_nbr,city,state,type,cluster\n1,a,b,c,4\n")
+    (folder / "b.csv").write_text("store_nbr,city,state,type,cluster\n2,a,b,c,4\n")
+    assert load_all(spark, source, f"{source}/out")["stores"].count() == 2
+    (folder / "b.csv").write_text("store_nbr,state,city,type,cluster\n2,b,a,c,4\n")
+    with pytest.raises(LoadError) as error:
+        load_all(spark, source, f"{source}/again")
+    assert set(error.value.failures) == {"stores"} and not (tmp_path / "again").exists()
+
+
+def test_a_missing_folder_names_all_tables(spark, tmp_path):
+    with pytest.raises(LoadError) as error:
+        run_job(spark, f"{tmp_path}/nowhere", f"{tmp_path}/out")
+    assert set(error.value.failures) == set(RAW_FILES)
+
+
+def test_csv_is_parsed_again_only_for_values_that_do_not_fit(spark, tmp_path, monkeypatch):
+    again = []
+    monkeypatch.setattr(csv, "settle_types", lambda text, name, settle=csv.settle_types: again.append(name) or settle(text, name))
+    source = put(tmp_path)
+    load_all(spark, source, f"{source}/out")
+    assert again == []
+    source = put(tmp_path, **{"transactions.csv": "date,store_nbr,transactions\nsoon,1,2\n"})
+    found = load_all(spark, source, f"{source}/out")["transactions"]
+    assert again == ["transactions"] and found.first()["date"] == "soon"
+
+
+def test_the_profile_is_there_when_cleaning_fails(spark, tmp_path, monkeypatch):
+    def fail(raw, out):
+        raise RuntimeError("cleaning")
+
+    monkeypatch.setattr(retail_job, "clean_stage", fail)
+    source = put(tmp_path)
+    with pytest.raises(RuntimeError, match="cleaning"):
+        run_job(spark, source, f"{source}/out")
+    assert spark.read.parquet(f"{source}/out/reports/calidad_datos_inicial").count() == 5
+    assert list((tmp_path / "out" / "reports" / "eda_inicial").glob("*.json"))
+
+
 def test_job_warns_when_joins_multiply(spark, tmp_path, caplog):
     source = put(tmp_path, **{"oil.csv": "date,dcoilwtico\n2015-01-01,50\n2015-01-01,51\n2015-01-02,52.5\n"})
     with caplog.at_level(logging.WARNING):
@@ -288,10 +333,30 @@ def test_shared_folder_is_the_sessions_own(spark):
 def test_tables_are_written_again_if_the_folder_was_emptied(spark, settings):
     label = Warehouse(spark, SF_DIR).raw("oil")
     key = (spark.sparkContext.applicationId, SF_DIR, "raw-oil")
-    path, schema = _written[key]
-    _written[key] = (path + "-gone", schema)
+    version, path, schema = _written[key]
+    _written[key] = (version, path + "-gone", schema)
     assert Warehouse(spark, SF_DIR).raw("oil").count() == label.count() == 1094
-    assert _written[key][0] not in (path, path + "-gone")
+    assert _written[key][1] not in (path, path + "-gone")
+
+
+def test_changed_input_is_read_again(spark, tmp_path):
+    for name in ("lineitem", "orders", "part", "supplier", "nation", "region"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert Warehouse(spark, str(tmp_path)).raw("stores").count() == 11
+    spark.read.parquet(f"{SF_DIR}/supplier.parquet").limit(4).write.mode("overwrite").parquet(f"{tmp_path}/supplier.parquet")
+    assert Warehouse(spark, str(tmp_path)).raw("stores").count() < 11
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    with scratch(spark):
+        inside = new_path(spark, "inside")
+        concurrently(spark, lambda i: cut(spark.range(3), f"t{i}"), [1, 2])
+        checkpoint(spark.range(3), inside)
+        assert spark.read.parquet(inside).count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(inside)
+    checkpoint(spark.range(3), outside := new_path(spark, "outside"))
+    assert version(spark, outside) and not version(spark, inside)
 
 
 def test_shuffles_follow_the_input(spark, settings, tmp_path):
@@ -299,12 +364,17 @@ def test_shuffles_follow_the_input(spark, settings, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("x" * 1000)
     (tmp_path / "in" / "b.csv").write_text("x" * 500)
-    source = str(tmp_path / "in")
-    assert stored_bytes(spark, source) == 1500
+    source = [spark.read.text(str(tmp_path / "in"))]
+    assert stored_bytes(source) == 1500
     assert size_shuffles(spark, source, 10) == 5
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     assert size_shuffles(spark, source, 1500) == 8
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
-    assert size_shuffles(spark, source, 10) == 150
+    assert size_shuffles(spark, source, 1) == 1500
+    settings({"storesales.shuffle.mostPartitions": "100"})
+    assert size_shuffles(spark, source, 1) == 100
+    assert size_shuffles(spark, source, 1500) == 8
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+    assert size_shuffles(spark, source, 15) == 100
     grouped = spark.range(9).groupBy(F.col("id") % 3).count()
-    assert ", 150)" in grouped._jdf.queryExecution().executedPlan().toString()
+    assert ", 100)" in grouped._jdf.queryExecution().executedPlan().toString()

@@ -16,7 +16,6 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from storesales.plans.warehouse import Warehouse
-
 from storesales.queries import FINDINGS, OPERATORS, TABLES, queries
 from storesales.sources.shared import remove_session_tables
 

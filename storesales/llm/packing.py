@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storesales.llm.common import cut, slices, texts_of, type_of
-from storesales.llm.pretokens import BYTE_LEVEL, PLAIN, PretokenCache, tokenizer
+from storesales.llm.pretokens import BYTE_LEVEL, PLAIN, PretokenCache, merge_all, tokenizer
 
 # Dimensions of the projected document vectors, and bits of each in the curve's key.
 DIMENSIONS, BITS = 4, 12
@@ -27,7 +27,7 @@ _caches: dict[str, PretokenCache] = {}
 def _ids_of(path: str) -> PretokenCache:
     if path not in _caches:
         _caches.clear()
-        _caches[path] = PretokenCache(path, lambda ids: np.array(ids, IDS).tobytes())
+        _caches[path] = PretokenCache(merge_all(path), lambda ids: np.array(ids, IDS).tobytes())
     return _caches[path]
 
 

@@ -10,6 +10,7 @@ with a special token written out, are encoded by the library as they are.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -53,15 +54,36 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+def encode_all(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of each pre-token, by the library."""
+    return lambda words: [e.ids for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
+
+
+def merge_all(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """The same for a byte-level vocabulary whose ids are in the order of its merges, without the cost of whole texts."""
+    import tiktoken
+
+    with open(path) as file:
+        description = json.load(file)
+    added = {token["content"] for token in description["added_tokens"]}
+    # Printable bytes stand for themselves, the others for the characters from 256 on.
+    shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173]
+    others = [b for b in range(256) if b not in shown]
+    byte_of = {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(others)}}
+    ranks = {bytes(byte_of[c] for c in w): i for w, i in description["model"]["vocab"].items() if w not in added}
+    merges = tiktoken.Encoding("merges", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    return lambda words: [merges.encode_ordinary(w) for w in words]
+
+
 class PretokenCache(dict):
-    """Pre-token -> what ``make`` makes of its encoding; at most ``limit`` beside those given at the start.
+    """Pre-token -> what ``make`` makes of the ids that ``encode`` gives; at most ``limit`` beside those given at the start.
 
     A full cache starts anew from those, which bounds its memory and changes no result.
     """
 
-    def __init__(self, path: str, make: Callable, first: dict | None = None, limit: int = 400_000):
+    def __init__(self, encode: Callable, make: Callable, first: dict | None = None, limit: int = 400_000):
         super().__init__(first or {})
-        self.path, self.make, self.first, self.limit = path, make, dict(first or {}), limit
+        self.encode, self.make, self.first, self.limit = encode, make, dict(first or {}), limit
 
     def learn(self, words) -> None:
         """Encode those of ``words`` that are not held yet."""
@@ -73,5 +95,4 @@ class PretokenCache(dict):
             self.clear()
             self.update(self.first)
             missing = [w for w in words if w not in self]
-        found = tokenizer(self.path).encode_batch_fast(missing, add_special_tokens=False)
-        self.update(zip(missing, (self.make(e.ids) for e in found), strict=True))
+        self.update(zip(missing, map(self.make, self.encode(missing)), strict=True))

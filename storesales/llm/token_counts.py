@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storesales.llm.common import slices, texts_of, type_of
-from storesales.llm.pretokens import PLAIN, WORD_ENDS, PretokenCache, tokenizer
+from storesales.llm.pretokens import PLAIN, WORD_ENDS, PretokenCache, encode_all, tokenizer
 
 # Rows of the broadcast table; with words of ordinary length it stays below 1 MB.
 FREQUENT = 65_536
@@ -98,7 +98,7 @@ def count_tokens(
         key = (path, zlib.crc32(shared.value))
         if key not in _caches:
             _caches.clear()
-            _caches[key] = PretokenCache(path, len, unpack_table(shared.value))
+            _caches[key] = PretokenCache(encode_all(path), len, unpack_table(shared.value))
         lengths = _caches[key]
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()

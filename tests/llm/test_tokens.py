@@ -34,13 +34,21 @@ def test_counts_are_the_librarys(docs, tricky):
 
 
 def test_a_full_cache_starts_anew():
-    cache = pretokens.PretokenCache(WORDS, len, {"the": 1}, limit=3)
+    cache = pretokens.PretokenCache(pretokens.encode_all(WORDS), len, {"the": 1}, limit=3)
     for words in (["a", "b", "c"], ["d", "e"], (w for w in ["f", "a", "the"])):
         words = list(words)
         cache.learn(iter(words))
         assert all(w in cache for w in words) and "the" in cache and len(cache) <= 4
 
 
+def test_merges_are_the_librarys():
+    rng = random.Random(4)
+    chars = [chr(c) for c in range(0x20, 0x180)] + list("\n\t  etaoinshr")
+    words = ["".join(rng.choice(chars) for _ in range(rng.randint(1, 12))) for _ in range(500)]
+    parts = [p for w in words for p in pretokens.BYTE_LEVEL.findall(w) if pretokens.PLAIN(w)]
+    assert pretokens.merge_all(BYTES)(parts) == pretokens.encode_all(BYTES)(parts)
+
+
 def test_table_round_trip():
     assert unpack_table(pack_table(["the", "zzxxyy"], WORDS)) == {w: len(ids(WORDS, w)) for w in ("the", "zzxxyy")}
     assert unpack_table(pack_table([], WORDS)) == {}

@@ -65,12 +65,15 @@ def components(edges: DataFrame) -> DataFrame:
     linked to its smallest neighbour, then all smaller ones. Rounds grow with
     the log of the number of vertices. A vertex with very many edges is summed
     up in the map tasks, and its rows of the join are split by adaptive
-    execution. Each round is written out. Loops and repeated edges are allowed,
+    execution. Each round is written out. No more edges than a task folds at
+    once need no rounds. Loops and repeated edges are allowed,
     edges with a NULL end are ignored.
     """
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
-    current = cut(_fold(edges), "components")
-    while not _only_stars(current):
+    edges = cut(edges, "components")
+    few = edges.count() <= FOLDED
+    current = cut(_fold(edges.coalesce(1) if few else edges), "components")
+    while not few and not _only_stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), "a").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()

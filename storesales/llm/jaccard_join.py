@@ -224,12 +224,12 @@ def _candidates(entries: DataFrame, prefixes: DataFrame, level: int, percent: in
         & (F.col("at_b") + _needed(percent) <= F.col("nb"))
         & (F.least("sa", "sb") + longer >= _needed(percent))
     )
-    pairs = hubs.join(members, "bucket").where(near).select("a", "b", "na", "nb").distinct()
+    pairs = cut(hubs.join(members, "bucket").where(near).select("a", "b", "na", "nb").distinct(), "jaccard-met")
     left = prefixes.select(F.col("sid").alias("a"), F.col("parts").alias("pa"))
     right = prefixes.select(F.col("sid").alias("b"), F.col("parts").alias("pb"))
     common = F.array_intersect("pa", "pb")
     partial = F.aggregate(common, F.lit(0).cast("long"), lambda total, part: total + part["weight"])
-    return pairs.join(left, "a").join(right, "b").where(partial + longer >= _needed(percent)).select("a", "b")
+    return right.join(small_enough(pairs, BROADCAST_ROWS), "b").join(left, "a").where(partial + longer >= _needed(percent)).select("a", "b")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -328,19 +328,20 @@ def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, n: int, perce
     found = texts.join(small_enough(first, BROADCAST_ROWS), "doc_id").select("sid", "text")
     known = cut(found.mapInArrow(own, "sid long, text string").dropDuplicates(["sid"]), "jaccard-texts")
     entries = cut(
-        entries.join(prefixes.select("sid", "shared"), "sid").withColumn("level", level), "jaccard-entries"
+        entries.join(small_enough(prefixes.select("sid", "shared"), BROADCAST_ROWS), "sid").withColumn("level", level), "jaccard-entries"
     )
     for j in range(top, -1, -1):
-        pairs = cut(_candidates(entries.join(labels, "sid"), prefixes, j, percent), "jaccard-pairs")
+        label = small_enough(labels, BROADCAST_ROWS)
+        pairs = cut(_candidates(entries.join(label, "sid"), prefixes, j, percent), "jaccard-pairs")
         if pairs.isEmpty():
             continue
         links = cut(_links(pairs, known, n, percent), "jaccard-links")
         if links.isEmpty():
             continue
-        comp = labels.select(F.col("sid").alias("a"), F.col("comp").alias("ca"))
-        comp_b = labels.select(F.col("sid").alias("b"), F.col("comp").alias("cb"))
-        joined = links.join(comp, "a").join(comp_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-        merged = components(joined).select(F.col("vertex").alias("comp"), "root")
+        of_a = label.select(F.col("sid").alias("a"), F.col("comp").alias("ca"))
+        of_b = label.select(F.col("sid").alias("b"), F.col("comp").alias("cb"))
+        joined = links.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        merged = small_enough(components(joined), BROADCAST_ROWS).select(F.col("vertex").alias("comp"), "root")
         labels = cut(
             labels.join(merged, "comp", "left").select("sid", F.coalesce("root", "comp").alias("comp")), "jaccard-labels"
         )

@@ -19,8 +19,8 @@ from storesales.llm.quality import score_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-# A text of which no language makes up this share goes.
-LEAST_SHARE = 0.4
+# A text of which no language makes up this share goes; texts too short to tell languages apart stay.
+LEAST_SHARE = 0.2
 
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:

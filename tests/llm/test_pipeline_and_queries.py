@@ -59,7 +59,7 @@ def test_stages_against_brute_force(spark):
 
     spoken = corpus_pipeline.language(spark, docs, DATA)
     found = {r.doc_id: r for r in llm.queries()["op10_language"](spark, DATA).collect()}
-    assert {r.doc_id for r in spoken.collect()} == {i for i, r in found.items() if r.lang_pred != "und" and r.score >= 0.4}
+    assert {r.doc_id for r in spoken.collect()} == {i for i, r in found.items() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SHARE}
 
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     last = {}

@@ -246,7 +246,7 @@ class Traversal:
         return vertices[vertices != roots], roots[vertices != roots]
 
 
-def _unit(packed: list) -> np.ndarray:
+def _unit(packed: list | np.ndarray) -> np.ndarray:
     points = np.array(packed, np.float64)
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
@@ -347,7 +347,8 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
     """``a, b, n`` of vectors of one length: links of a vector (b NULL) and edges."""
     centres = _centres(vectors, min(MOST_CELLS, math.ceil(vectors.count() / (CHUNK // 2))))
     shared = spark.sparkContext.broadcast(centres)
-    scalar = vectors.schema["v"].dataType.elementType.simpleString()
+    kind = vectors.schema["v"].dataType.elementType.simpleString()
+    scalar = "f4" if kind == "float" else "f8"
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,7 +362,7 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
 
     celled = cut(
         vectors.select("key", "weight", "v").mapInArrow(
-            assign, f"key long, weight long, v array<{scalar}>, cell long, far double"
+            assign, f"key long, weight long, v array<{kind}>, cell long, far double"
         ),
         "embedding-cells",
     )
@@ -371,11 +372,12 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
     parted = celled.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
 
     def grow(table: pa.Table) -> pa.Table:
-        tree = CoverTree.build(
-            _unit(table.column("v").to_pylist()),
-            table.column("weight").to_numpy().astype(float),
-            table.column("key").to_numpy(),
-        )
+        given = np.array(table.column("v").to_pylist(), scalar)
+        keys = table.column("key").to_numpy()
+        tree = CoverTree.build(_unit(given), table.column("weight").to_numpy().astype(float), keys)
+        by_key = np.argsort(keys)
+        # The vectors move as they were given; unit length in double precision comes back from them.
+        tree.points = given[by_key[np.searchsorted(keys[by_key], tree.keys)]]
         return pa.table(
             {
                 "cell": table.column("cell")[:1],
@@ -426,9 +428,11 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
 
 
 def _packed(tree: CoverTree) -> bytes:
-    """The tree's arrays; unit vectors keep double precision."""
+    """The tree's arrays."""
     return pickle.dumps(tuple(getattr(tree, f) for f in tree.__dataclass_fields__), protocol=5)
 
 
 def _unpacked(packed: bytes) -> CoverTree:
-    return CoverTree(*pickle.loads(packed))
+    tree = CoverTree(*pickle.loads(packed))
+    tree.points = _unit(tree.points)
+    return tree

@@ -118,8 +118,62 @@ FROM kept
 """
 
 
+def _component_sql(vertices: str, key: str) -> str:
+    """Smallest key reachable over ``links(a, b)`` as ``component_id``."""
+    return f"""
+    reached AS (
+        SELECT {key} AS a, {key} AS b FROM {vertices}
+        UNION
+        SELECT r.a, e.b FROM reached AS r
+        JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) AS e ON r.b = e.a
+    ), smallest AS (SELECT a AS {key}, min(b) AS component_id FROM reached GROUP BY a)"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    END AS grams
+    FROM words
+), items AS (
+    SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM items AS a JOIN items AS b ON a.gram = b.gram AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), {_component_sql("sets", "doc_id")}
+SELECT doc_id, len(grams) AS n_shingles, component_id FROM sets JOIN smallest USING (doc_id)
+"""
+
+EMBEDDING_SQL = f"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable AS a JOIN usable AS b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), {_component_sql("embeddings", "vec_id")}
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id OR b = vec_id) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM smallest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_jaccard_join": JACCARD_SQL,
+        "op8_embedding_links": EMBEDDING_SQL,
         "op7_exact_dedup": EXACT_DEDUP_SQL,
         "op9_chat_format": CHAT_SQL,
     }

@@ -58,7 +58,8 @@ def jdbc_replace(
 ) -> None:
     """Drop ``table``, create it for the types of ``df`` and load it from the executors.
 
-    At most ``connections`` executors write at once. A task that is run again
+    At most ``connections`` tasks write to this table at once; an export of many
+    tables runs several of them together. A task that is run again
     after its executor was lost may have committed before, so the rows are
     counted at the end.
     """

@@ -378,3 +378,10 @@ def test_shuffles_follow_the_input(spark, settings, tmp_path):
     assert size_shuffles(spark, source, 15) == 100
     grouped = spark.range(9).groupBy(F.col("id") % 3).count()
     assert ", 100)" in grouped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_without_rows_are_loaded(spark, tmp_path):
+    source = put(tmp_path, **{"oil.csv": "﻿date,dcoilwtico\n", "transactions.csv": "date,store_nbr,transactions\n"})
+    loaded = load_all(spark, source, f"{source}/out")
+    assert loaded["oil"].count() == loaded["transactions"].count() == 0
+    assert loaded["oil"].dtypes == [("date", "date"), ("dcoilwtico", "double")]

@@ -21,6 +21,9 @@ BYTES_PER_COUNTER = 64
 FEWEST_COUNTERS, MOST_COUNTERS = 1 << 14, 1 << 26
 PART = 1 << 14
 
+# Sizes above this are the optimizer's guess for a table it knows nothing of.
+UNKNOWN_BYTES = 1 << 55
+
 # Entries that a map task holds before it hands them on, and sets it remembers to skip copies.
 HELD_ENTRIES, HELD_SETS = 1 << 20, 1 << 18
 
@@ -282,7 +285,10 @@ def jaccard_components(
     """
     texts = texts_of(docs, id_col, text_col)
     kind = type_of(texts, "doc_id")
-    wanted = max(1, plan_bytes(docs) // BYTES_PER_COUNTER)
+    size = plan_bytes(docs)
+    if size > UNKNOWN_BYTES:
+        size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    wanted = max(1, size // BYTES_PER_COUNTER)
     bits = int(math.log2(min(MOST_COUNTERS, max(FEWEST_COUNTERS, wanted))))
     scanned = _sets_and_counts(texts, kind, n, bits)
     sets = scanned.where("part IS NULL").select("doc_id", "sid", "n")

@@ -18,7 +18,7 @@ from storesales.llm.words import mix, run_hashes, words_of
 
 # Counters of the frequency table: one per this many bytes of input, within these bounds.
 BYTES_PER_COUNTER = 64
-FEWEST_COUNTERS, MOST_COUNTERS = 1 << 14, 1 << 26
+FEWEST_COUNTERS, MOST_COUNTERS = 1 << 14, 1 << 24
 PART = 1 << 14
 
 # Sizes above this are the optimizer's guess for a table it knows nothing of.
@@ -263,7 +263,7 @@ def jaccard_components(
     or all its words as one if they are fewer.
 
     1. One pass finds every set's id and size, and counts n-grams over all
-       texts in hashed counters. Their number follows the input up to 2**26, a
+       texts in hashed counters. Their number follows the input up to 2**24, a
        byte each when broadcast; they only order the n-grams, rare ones first.
     2. The order is cut into fragments. Each map task hands on a set once,
        however many texts have it, and only its prefix: two sets that link share

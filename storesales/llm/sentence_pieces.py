@@ -9,7 +9,9 @@ beside. The shortest path in the tropical semiring is then the encoding.
 
 from __future__ import annotations
 
+import math
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ BLANK = "▁"
 IDS = np.dtype("<u4")
 
 # Segments and pairs of pieces whose result a worker remembers.
-SEGMENTS, PAIRS = 500_000, 500_000
+SEGMENTS, PAIRS = 400_000, 300_000
 
 # Longer segments are composed without being remembered.
 LONGEST_KEPT = 64
@@ -53,15 +55,22 @@ class Transducer:
         if len(self.bytes_from) != 256:
             raise ValueError(f"{path}: a piece for every byte is needed")
         special = {i for i in range(len(self.pieces)) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
-        self.control = special - set(self.bytes_from.values())
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special}
         self.scores = [model.get_score(i) for i in range(len(self.pieces))]
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError(f"{path}: a piece has a blank inside")
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        self.byte_of = {i: b for b, i in self.bytes_from.items()}
+        self._odd: set[int] = set()
+        # Every beginning of a piece: the piece's id where it is a whole one, else -1.
+        self.prefixes = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
+        byte_of = {i: b for b, i in self.bytes_from.items()}
+        # What a piece is as text; control pieces are nothing.
+        self.raw = [
+            byte_of[i] if i in byte_of else b"" if i in special else p.replace(BLANK, " ").encode()
+            for i, p in enumerate(self.pieces)
+        ]
+        self._halves = {i: self._last_merge(i) for i in self.ids.values()}
         self._pairs: dict[int, bool] = {}
-        self._segments: dict[str, bytes] = {}
+        self._segments = _Segments(self)
 
     @staticmethod
     def of(path: str) -> Transducer:
@@ -73,10 +82,10 @@ class Transducer:
     def normalised(text: str) -> str:
         return (BLANK + text).replace(" ", BLANK) if text else ""
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging gives: always the best pair, of equal ones the first."""
+    def merged(self, text: str, stop: int = 1) -> list[str]:
+        """The pieces that merging gives: always the best pair, of equal ones the first; or the last ``stop`` before."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 piece = self.ids.get(parts[i] + parts[i + 1])
@@ -87,28 +96,69 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _last_merge(self, piece: int) -> tuple[int, int] | None:
+        """The two pieces whose merge makes this one last; None for a single character.
+
+        Merges must come in the order of their scores, each after those it
+        needs; pieces that break this are set apart, and their pairs merged.
+        """
+        text = self.pieces[piece]
+        if len(text) == 1:
+            return None
+        for i in range(1, len(text)):
+            left, right = self.ids.get(text[:i]), self.ids.get(text[i:])
+            if left is None or right is None or self.merged(text[:i]) != [text[:i]] or self.merged(text[i:]) != [text[i:]]:
+                continue
+            if self._ordered(left, piece) and self._ordered(right, piece) and self._splits_last(text, i):
+                return left, right
+        self._odd.add(piece)
+        return None
+
+    def _ordered(self, part: int, piece: int) -> bool:
+        return len(self.pieces[part]) == 1 or self.scores[part] > self.scores[piece] and part not in self._odd
+
+    def _splits_last(self, text: str, i: int) -> bool:
+        return self.merged(text, stop=2) == [text[:i], text[i:]]
+
     def _beside(self, first: int, second: int) -> bool:
-        """Whether merging leaves the two pieces as they are."""
+        """Whether merging leaves the two pieces as they are.
+
+        A merge across their border joins a piece on the right edge of the first
+        one's making with one on the left edge of the second's. Both must be
+        there at the same time, and the merge must score higher than the one
+        that would take the left of them, and no lower than that of the right.
+        """
         key = first << 32 | second
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= PAIRS:
                 self._pairs.clear()
-            a, b = self.pieces[first], self.pieces[second]
-            known = self._pairs[key] = self.merged(a + b) == [a, b]
+            if first in self._odd or second in self._odd:
+                a, b = self.pieces[first], self.pieces[second]
+                known = self.merged(a + b) == [a, b]
+            else:
+                known = not any(self._crosses(a, b) for a in self._edge(first, 1) for b in self._edge(second, 0))
+            self._pairs[key] = known
         return known
 
-    def _arcs(self, text: str, i: int) -> list[tuple[int, int]]:
-        """Pieces that begin at this place and where they end, the shortest first."""
-        found = []
-        for j in range(i + 1, len(text) + 1):
-            part = text[i:j]
-            piece = self.ids.get(part)
-            if piece is not None:
-                found.append((piece, j))
-            elif part not in self.prefixes:
-                break
-        return found
+    def _edge(self, piece: int, side: int) -> list[tuple[str, float, float]]:
+        """Pieces at one edge in the making of a piece: text, score that makes it, score that takes it."""
+        found, taken = [], -math.inf
+        while True:
+            halves = self._halves[piece]
+            found.append((self.pieces[piece], self.scores[piece] if halves else math.inf, taken))
+            if halves is None:
+                return found
+            taken, piece = self.scores[piece], halves[side]
+
+    def _crosses(self, left: tuple[str, float, float], right: tuple[str, float, float]) -> bool:
+        text, made, taken = left
+        other, made_too, taken_too = right
+        joined = self.ids.get(text + other)
+        if joined is None or min(made, made_too) <= max(taken, taken_too):
+            return False
+        score = self.scores[joined]
+        return score > taken and score >= taken_too
 
     def _path(self, text: str) -> list[int]:
         """Shortest path of the composition with one segment.
@@ -120,20 +170,25 @@ class Transducer:
         has the pieces of its bytes, which nothing merges with.
         """
         n = len(text)
-        beside = self._beside
+        beside, find = self._beside, self.prefixes.get
         dead: set[tuple[int, int]] = set()
-        arcs: list[list[tuple[int, int]] | None] = [None] * n
         place, last = 0, _START
         way: list[tuple[int, int, list[tuple[int, int]]]] = []  # place, piece before it, arcs still to try
         left: list[tuple[int, int]] | None = None
         while place < n:
             if left is None:
-                if arcs[place] is None:
-                    arcs[place] = self._arcs(text, place) or [(_START, place + 1)]
-                left = arcs[place].copy()
+                left = []
+                for end in range(place + 1, n + 1):
+                    piece = find(text[place:end])
+                    if piece is None:
+                        break
+                    if piece >= 0:
+                        left.append((piece, end))
+                if not left:
+                    left.append((_START, place + 1))
             while left:
                 piece, end = left.pop()
-                if (piece == _START or last == _START or beside(last, piece)) and (end, piece) not in dead:
+                if (piece < 0 or last < 0 or beside(last, piece)) and (not dead or (end, piece) not in dead):
                     way.append((place, last, left))
                     place, last, left = end, piece, None
                     break
@@ -150,35 +205,30 @@ class Transducer:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers."""
-        known = self._segments
-        found = []
-        for segment in _SEGMENT.findall(self.normalised(text)):
-            ids = known.get(segment)
-            if ids is None:
-                ids = np.array(self._path(segment), IDS).tobytes()
-                if len(segment) <= LONGEST_KEPT:
-                    if len(known) >= SEGMENTS:
-                        known.clear()
-                    known[segment] = ids
-            found.append(ids)
-        return b"".join(found)
+        segments = _SEGMENT.findall(self.normalised(text))
+        return b"".join(map(self._segments.__getitem__, segments))
 
     def decode(self, ids: bytes) -> str:
         """Text of some ids; bytes that are no UTF-8 become U+FFFD, control pieces nothing."""
-        parts: list[str] = []
-        raw = bytearray()
-        for i in np.frombuffer(ids, IDS).tolist():
-            if i in self.byte_of:
-                raw += self.byte_of[i]
-                continue
-            if raw:
-                parts.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if i not in self.control:
-                parts.append(self.pieces[i])
-        parts.append(raw.decode("utf-8", "replace"))
-        text = "".join(parts).replace(BLANK, " ")
-        return text[1:] if text.startswith(" ") else text
+        raw = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, IDS).tolist()))
+        return raw.decode("utf-8", "replace").removeprefix(" ")
+
+
+class _Segments(dict):
+    """Segment -> its ids, found on first use; starts anew when it is full."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.transducer = transducer
+
+    def __missing__(self, segment: str) -> bytes:
+        path = self.transducer._path(segment)
+        ids = struct.pack(f"<{len(path)}I", *path)
+        if len(segment) <= LONGEST_KEPT:
+            if len(self) >= SEGMENTS:
+                self.clear()
+            self[segment] = ids
+        return ids
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

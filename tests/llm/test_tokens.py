@@ -129,6 +129,20 @@ def test_transducer_on_random_text():
         assert own.decode(got) == library.decode(want), repr(text)
 
 
+def test_pieces_beside_each_other_are_those_that_merging_leaves():
+    own = Transducer.of(PIECES)
+    rng = random.Random(3)
+    ids = list(own.ids.values())
+    for _ in range(6000):
+        first, second = rng.choice(ids), rng.choice(ids)
+        whole = own.pieces[rng.choice(ids)]
+        if len(whole) > 1 and rng.random() < 0.7:
+            cut = rng.randrange(1, len(whole))
+            first, second = own.ids.get(whole[:cut], first), own.ids.get(whole[cut:], second)
+        a, b = own.pieces[first], own.pieces[second]
+        assert own._beside(first, second) == (own.merged(a + b) == [a, b]), (a, b)
+
+
 def test_bytes_that_are_no_text_are_replaced():
     own = Transducer.of(PIECES)
     assert own.decode(np.array([own.bytes_from[b"\xff"], own.ids["a"]], IDS).tobytes()) == "�a"

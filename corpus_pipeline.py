@@ -19,8 +19,11 @@ from storesales.llm.quality import score_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-# A text of which no language makes up this share goes; texts too short to tell languages apart stay.
-LEAST_SHARE = 0.2
+# A text of which its languages together, set against letters at random, make up less than this share goes.
+LEAST_SHARE = 0.5
+
+# Texts of fewer trigrams are too short to be told from letters at random, and stay.
+FEWEST_TRIGRAMS = 20
 
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -34,9 +37,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those that are of no language for the most part go."""
-    judged = identify(docs.select(*COLUMNS), carry=True)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
+    """Documents with a language; those that are of no language for the most part go, but short ones stay.
+
+    Texts without a letter go, and all where there is nothing to learn from.
+    """
+    judged = identify(docs.select(*COLUMNS), carry=True, background=True)
+    spoken = (F.col("trigrams") < FEWEST_TRIGRAMS) | (1 - F.col("outside") >= LEAST_SHARE)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & spoken).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,31 +36,51 @@ _FOLD[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
 
 
+def _codes(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """Three bytes each in one number; those with one letter or none are left out."""
+    letters = sum((x != 0x20).astype(np.int8) for x in (first, second, third))
+    return (first << 16 | second << 8 | third)[letters >= 2]
+
+
+def _slots(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint32(0x9E3779B1) >> np.uint32(32 - SLOT_BITS)).astype(np.uint16)
+
+
+def _codes_of(text: str) -> np.ndarray:
+    data = _FOLD[np.frombuffer(f" {text} ".lower().encode("utf-8", "surrogatepass"), np.uint8)].astype(np.uint32)
+    return _codes(data[:-2], data[1:-1], data[2:]) if len(data) >= 3 else np.empty(0, np.uint32)
+
+
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The distinct trigram slots of a whole text and their counts; those of one letter or none are left out."""
-    data = _FOLD[np.frombuffer(f" {text} ".lower().encode("utf-8", "surrogatepass"), np.uint8)].astype(np.uint32)
-    if len(data) < 3:
+    return _counted(_codes_of(text))
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(codes):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    letters = (data != 0x20).astype(np.int8)
-    codes = (data[:-2] << 16 | data[1:-1] << 8 | data[2:])[letters[:-2] + letters[1:-1] + letters[2:] >= 2]
-    slots = np.sort((codes * np.uint32(0x9E3779B1) >> np.uint32(32 - SLOT_BITS)).astype(np.uint16))
-    firsts = np.flatnonzero(np.diff(slots, prepend=-1)) if len(slots) else np.empty(0, np.int64)
+    slots = np.sort(_slots(codes))
+    firsts = np.flatnonzero(np.diff(slots, prepend=-1))
     return slots[firsts].astype(np.int64), np.diff(firsts, append=len(slots))
 
 
-def learn(texts: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and the probability of each trigram slot (row) in each of them, from ``lang, text``.
+def learn(texts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, the probability of each trigram slot (row) in each of them, their trigrams, and ``letters_at_random``.
 
-    Map tasks count per language; the sums that reach the driver are at most
-    ``SLOTS`` per language, however many texts there are.
+    Map tasks count ``lang, text`` per language, trigrams by slot and their
+    middle bytes behind them; the sums that reach the driver are at most
+    ``SLOTS + 256`` per language, however many texts there are.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in slices(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                slots, counts = trigrams(text)
-                totals.setdefault(lang, np.zeros(SLOTS, np.int64))[slots] += counts
+                codes = _codes_of(text)
+                slots, counts = _counted(codes)
+                total = totals.setdefault(lang, np.zeros(SLOTS + 256, np.int64))
+                total[slots] += counts
+                total[SLOTS:] += np.bincount(codes >> 8 & 0xFF, minlength=256)
         for lang, total in totals.items():
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict(
@@ -70,11 +90,24 @@ def learn(texts: DataFrame) -> tuple[list[str], np.ndarray]:
     counted = texts.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     names = sorted(found.column("lang").unique().to_pylist())
-    table = np.full((SLOTS, len(names)), SMOOTHING)
+    table = np.zeros((SLOTS + 256, len(names)))
     place = {name: i for i, name in enumerate(names)}
     columns = np.array([place[x] for x in found.column("lang").to_pylist()], np.int64)
     table[found.column("slot").to_numpy(), columns] += found.column("n").to_numpy()
-    return names, table / table.sum(axis=0)
+    seen, table = table, table[:SLOTS] + SMOOTHING
+    return names, table / table.sum(axis=0), seen[:SLOTS].sum(axis=0), letters_at_random(seen[SLOTS:].sum(axis=1))
+
+
+def letters_at_random(counts: np.ndarray) -> np.ndarray:
+    """The probability of each trigram slot where bytes are drawn each on its own, as often as they were counted."""
+    found = np.flatnonzero(counts).astype(np.uint32)
+    table = np.zeros(SLOTS)
+    second, third = (x.ravel() for x in np.meshgrid(found, found))
+    for byte in found:
+        codes = _codes(np.full_like(second, byte), second, third)
+        likely = counts[codes >> 16] * counts[codes >> 8 & 0xFF] * counts[codes & 0xFF]
+        table += np.bincount(_slots(codes), likely, SLOTS)
+    return table / (table.sum() or 1.0)
 
 
 def _em(
@@ -132,6 +165,27 @@ def mixture(model: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]]) -> np
     return result
 
 
+def outside(
+    model: np.ndarray, learned: np.ndarray, at_random: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]], shares: np.ndarray
+) -> np.ndarray:
+    """The share of each text that none of its languages explains.
+
+    EM over three sources: the text's ``mixture``, letters at random, and
+    trigrams at random. Letters at random are smoothed like the languages, as if
+    learned from as many trigrams (``learned``), so a language of few texts is
+    not beaten for being sparse. How many languages there are does not matter.
+    """
+    slots = np.concatenate([s for s, _ in grams])
+    counts = np.concatenate([c for _, c in grams]).astype(np.float64)
+    sizes = np.array([len(s) for s, _ in grams])
+    spoken = (model[slots] * np.repeat(shares, sizes, axis=0)).sum(axis=1)
+    whole = learned + SMOOTHING * SLOTS
+    drawn = np.repeat(shares @ (learned / whole), sizes) * at_random[slots] + np.repeat(shares @ (SMOOTHING / whole), sizes)
+    likely = np.column_stack([spoken, drawn, np.full(len(slots), 1.0 / SLOTS)])
+    found, _ = _em(likely, counts, np.cumsum(sizes) - sizes, np.full((len(grams), 3), 1.0 / 3), STEPS)
+    return 1.0 - found[:, 0]
+
+
 def identify(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -140,6 +194,7 @@ def identify(
     folds: int = 4,
     held_out: int = 2,
     carry: bool = False,
+    background: bool = False,
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, langs, shares`` of every whole text.
 
@@ -154,28 +209,40 @@ def identify(
     no held-out fold. Repeated rows are judged, and learned from, each; an empty
     table gives an empty result. Other columns are only read with ``carry``,
     which returns every document whole in a struct ``row``.
+
+    ``background`` adds the number of a text's ``trigrams`` and the share
+    ``outside`` of it that is rather letters at random than its languages; 0
+    where there is no trigram or nothing to learn from.
     """
     fold = F.coalesce(id_crc32(F.col(id_col)) % folds, F.lit(-1))
     labelled = docs.where(F.col(lang_col).isNotNull() & (fold != held_out))
-    names, model = learn(
+    names, *tables = learn(
         texts_of(labelled, lang_col, text_col).select(F.col("doc_id").cast("string").alias("lang"), "text")
     )
-    shared = docs.sparkSession.sparkContext.broadcast((names, model))
+    shared = docs.sparkSession.sparkContext.broadcast((names, *tables))
     texts = texts_of(docs, id_col, text_col, carry)
     schema = f"doc_id {type_of(texts, 'doc_id')}, lang_pred string, score double, langs array<string>, shares array<double>"
+    if background:
+        schema += ", trigrams long, outside double"
     if carry:
         schema += f", row {type_of(texts, 'row')}"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, model = shared.value
+        names, model, learned, at_random = shared.value
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             found: list[np.ndarray | None] = [None] * len(texts)
+            sizes, beyond = [0] * len(texts), [0.0] * len(texts)
             block: list[tuple[int, tuple]] = []
 
-            def flush(block=block, found=found):
-                for (i, _), row in zip(block, mixture(model, [g for _, g in block]) if block else (), strict=True):
-                    found[i] = row
+            def flush(block=block, found=found, beyond=beyond):
+                if not block:
+                    return
+                grams = [g for _, g in block]
+                shares = mixture(model, grams)
+                rest = outside(model, learned, at_random, grams, shares) if background else np.zeros(len(grams))
+                for (i, _), row, r in zip(block, shares, rest, strict=True):
+                    found[i], beyond[i] = row, float(r)
                 block.clear()
 
             held = 0
@@ -186,6 +253,7 @@ def identify(
                 if not len(grams[0]):  # a single letter: nothing to tell languages apart
                     found[i] = np.full(len(names), 1.0 / len(names))
                     continue
+                sizes[i] = int(grams[1].sum())
                 held += len(grams[0]) * len(names)
                 block.append((i, grams))
                 if held > BLOCK:
@@ -194,6 +262,9 @@ def identify(
             flush()
             sets = [[] if s is None else [j for j in np.argsort(-s, kind="stable") if s[j] > 0] for s in found]
             more, more_names = carried(batch)
+            if background:
+                more = [pa.array(sizes, pa.int64()), pa.array(beyond, pa.float64()), *more]
+                more_names = ["trigrams", "outside", *more_names]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

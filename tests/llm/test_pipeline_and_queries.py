@@ -1,4 +1,5 @@
 import importlib
+import random
 import re
 import sys
 from pathlib import Path
@@ -88,3 +89,24 @@ def test_stages_handle_odd_documents(spark, docs, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, DATA).collect()
         assert stage(spark, no_docs, DATA).collect() == []
+
+
+def test_texts_of_no_language_go_however_many_languages_there_are(spark):
+    rng = random.Random(8)
+    table = spark.read.parquet(f"{DATA}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    known = table.where("lang = 'en'").orderBy("doc_id").first().text.split()
+    letters = list("".join(known[:200]))
+    rng.shuffle(letters)
+    go = {
+        -1: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(100)),
+        -2: "".join(c + " " * (i % 5 == 4) for i, c in enumerate(letters)),
+        -3: "zzzz " * 50,
+        -4: "12 - 34",
+    }
+    stay = {-10: " ".join(known[:4]), -11: "a", -12: " ".join(known[:60]) + " vkq xzj", -13: "qzx"}
+    planted = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in (go | stay).items()], table.schema)
+    more = spark.createDataFrame([(1_000_000 + i, t * 99, n, "s", 9) for i, (n, t) in enumerate(
+        [("l1", "abra cadabra "), ("l2", "hokus pokus "), ("l3", "fidi bus ")])], table.schema)
+    for docs in (table, table.unionByName(more)):
+        kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(planted), DATA).collect()}
+        assert kept == {r.doc_id for r in docs.collect()} | set(stay)

@@ -7,12 +7,12 @@ stage before it kept; all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storesales.llm.common import cut, read
-from storesales.llm.exact_dedup import exact_dedup
-from storesales.llm.jaccard_join import jaccard_components
+from storesales.llm.exact_dedup import exact_dedup, sha256
+from storesales.llm.jaccard_join import jaccard_sets, mark_of
 from storesales.llm.language import UNKNOWN, identify
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
@@ -26,8 +26,16 @@ LEAST_SHARE = 0.5
 FEWEST_TRIGRAMS = 20
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.select(*COLUMNS).join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+def _keep(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """The rows that ``kept`` (``id``, ``key`` of the text, ``n``) names, NULL ids too; of ``n`` > 1 such rows one."""
+    kept = cut(kept, "pipeline-kept")
+    rows = docs.select(*COLUMNS, key.alias("key"))
+    found = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (rows["key"] == kept["key"])).select(*COLUMNS, "n")
+    if kept.where("n > 1").isEmpty():
+        return found.select(*COLUMNS)
+    same = ("doc_id", F.coalesce("text", F.lit("")).alias("same"))  # NULL counts as the empty text
+    repeated = found.where("n > 1").groupBy(*same).agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row"))
+    return found.where("n = 1").select(*COLUMNS).unionByName(repeated.select("doc_id", "row.*"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +55,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with the same text the one with the largest id."""
-    return _keep(docs, exact_dedup(docs).where("kept"))
+    """Of documents with the same text one row, with the largest id; a NULL id stays if the text has no other."""
+    kept = exact_dedup(docs).where("kept").groupBy(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("key"))
+    return _keep(docs, F.unhex(sha256(F.coalesce("text", F.lit("")))), kept.agg(F.count(F.lit(1)).alias("n")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word 5-grams with a Jaccard similarity of 0.8 the one with the smallest id."""
-    return _keep(docs, jaccard_components(docs).where("doc_id <=> component_id"))
+    """Of documents linked by word 5-grams with a Jaccard similarity of 0.8 one row, with the smallest id.
+
+    A NULL id stays if none is linked to it that has one. Of an id's rows with
+    different linked texts one stays. Texts without words are not linked.
+    """
+    texts = jaccard_sets(docs).groupBy("comp", F.col("doc_id").alias("id"), "mark").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.isnull("id").alias("last"), "id", "mark", "n")).alias("row")
+    linked = texts.where("comp IS NOT NULL").groupBy("comp").agg(first).select("row.id", "row.mark", "row.n")
+    alone = texts.where("comp IS NULL").select("id", "mark", F.lit(1).cast("long").alias("n"))
+    return _keep(docs, mark_of("text"), linked.unionByName(alone).withColumnRenamed("mark", "key"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

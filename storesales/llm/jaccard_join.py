@@ -48,6 +48,11 @@ def shingle_sets(texts: list[str], n: int) -> list[np.ndarray]:
     return sets
 
 
+def mark_of(text: str) -> Column:
+    """Tells the texts of rows with the same id, or none, apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _set_id(codes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(codes.tobytes()) - (1 << 63)
 
@@ -58,7 +63,7 @@ def _prefix(n: int, percent: int) -> int:
 
 
 def _sets_and_counts(texts: DataFrame, kind: str, n: int, bits: int) -> DataFrame:
-    """A row per text with its set's id and size, and rows with the map tasks' counts of hashed n-grams."""
+    """A row per text with its mark and its set's id and size, and rows with the map tasks' counts of hashed n-grams."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint32)
@@ -69,12 +74,13 @@ def _sets_and_counts(texts: DataFrame, kind: str, n: int, bits: int) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("mark"),
                     pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                ["doc_id", "sid", "n", "part", "counts"],
+                ["doc_id", "mark", "sid", "n", "part", "counts"],
             )
         for part, some in enumerate(counts.reshape(-1, PART)):
             if some.any():
@@ -83,14 +89,15 @@ def _sets_and_counts(texts: DataFrame, kind: str, n: int, bits: int) -> DataFram
                         pa.nulls(1, doc_type),
                         pa.nulls(1, pa.int64()),
                         pa.nulls(1, pa.int64()),
+                        pa.nulls(1, pa.int64()),
                         pa.array([part], pa.int32()),
                         pa.array([zlib.compress(some.tobytes(), 1)], pa.binary()),
                     ],
-                    ["doc_id", "sid", "n", "part", "counts"],
+                    ["doc_id", "mark", "sid", "n", "part", "counts"],
                 )
 
     doc_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    return cut(texts.mapInArrow(scan, f"doc_id {kind}, sid long, n long, part int, counts binary"), "jaccard-sets")
+    return cut(texts.withColumn("mark", mark_of("text")).mapInArrow(scan, f"doc_id {kind}, mark long, sid long, n long, part int, counts binary"), "jaccard-sets")
 
 
 def _levels(counts: DataFrame, bits: int) -> np.ndarray:
@@ -283,6 +290,20 @@ def jaccard_components(
     long, int or string. Sets with equal 64-bit ids are taken as equal; among
     1e9 sets the chance of any wrong one is about 3 %. Other columns are not read.
     """
+    labelled = jaccard_sets(docs, id_col, text_col, n, percent)
+    smallest = labelled.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return labelled.join(smallest, "comp", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def jaccard_sets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
+) -> DataFrame:
+    """``doc_id, mark, n, comp``, a row per input row: as ``jaccard_components``, with the text's ``mark_of``.
+
+    Rows of the same ``comp``, whatever their ids, are linked; it is NULL for empty sets, which are not.
+    """
     texts = texts_of(docs, id_col, text_col)
     kind = type_of(texts, "doc_id")
     size = plan_bytes(docs)
@@ -291,15 +312,11 @@ def jaccard_components(
     wanted = max(1, size // BYTES_PER_COUNTER)
     bits = int(math.log2(min(MOST_COUNTERS, max(FEWEST_COUNTERS, wanted))))
     scanned = _sets_and_counts(texts, kind, n, bits)
-    sets = scanned.where("part IS NULL").select("doc_id", "sid", "n")
+    sets = scanned.where("part IS NULL").select("doc_id", "mark", "sid", "n")
     levels = _levels(scanned.where("part IS NOT NULL").select("part", "counts"), bits)
     entries = _shared_prefixes(texts, levels, bits, n, percent)
     labels = cut(_labels(entries, sets, texts, n, percent), "jaccard-labels")
-    labelled = sets.join(labels, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    smallest = labelled.where("sid IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(smallest, "comp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return sets.join(labels, "sid", "left").select("doc_id", "mark", "n", F.coalesce("comp", "sid").alias("comp"))
 
 
 def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -321,7 +338,8 @@ def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, n: int, perce
     first = cut(
         sets.join(small_enough(labels.select("sid"), BROADCAST_ROWS), "sid", "left_semi")
         .groupBy("sid")
-        .agg(F.min("doc_id").alias("doc_id")),
+        .agg(F.min(F.struct("doc_id", "mark")).alias("row"))
+        .select("sid", F.col("row.doc_id").alias("id"), "row.mark"),
         "jaccard-first",
     )
 
@@ -330,8 +348,10 @@ def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, n: int, perce
             found = [_set_id(s) if len(s) else None for s in shingle_sets(batch.column("text").to_pylist(), n)]
             yield batch.filter(pa.array([a == b for a, b in zip(found, batch.column("sid").to_pylist(), strict=True)]))
 
-    # Where ids repeat with other texts, those of other sets fall away.
-    found = texts.join(small_enough(first, BROADCAST_ROWS), "doc_id").select("sid", "text")
+    # The row of a set is found by id and mark, as ids may be NULL or repeat with other texts; where marks meet by chance,
+    # texts of other sets fall away.
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (mark_of("text") == F.col("mark"))
+    found = texts.join(small_enough(first, BROADCAST_ROWS), same).select("sid", "text")
     known = cut(found.mapInArrow(own, "sid long, text string").dropDuplicates(["sid"]), "jaccard-texts")
     entries = cut(
         entries.join(small_enough(prefixes.select("sid", "shared"), BROADCAST_ROWS), "sid").withColumn("level", level), "jaccard-entries"

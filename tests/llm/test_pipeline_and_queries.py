@@ -110,3 +110,25 @@ def test_texts_of_no_language_go_however_many_languages_there_are(spark):
     for docs in (table, table.unionByName(more)):
         kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(planted), DATA).collect()}
         assert kept == {r.doc_id for r in docs.collect()} | set(stay)
+
+
+def test_copies_go_row_by_row_whatever_their_ids(spark):
+    def rows(stage, *texts):
+        table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+        found = stage(spark, table.repartition(3), DATA)
+        assert found.columns == table.columns
+        return sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+
+    def near(i, k=None):
+        parts = [f"w{i}x{j}" for j in range(100)]
+        return " ".join(parts if k is None else [*parts[:k], "changed", *parts[k + 1 :]])
+
+    ends = sorted([(None, "b"), (1, "c"), (4, "a"), (4, "d"), (None, None)], key=repr)
+    assert rows(corpus_pipeline.exact_copies, (3, "a"), (4, "a"), (4, "a"), (None, "a"), (None, "b"), (None, "b"), (1, "c"), (0, "d"), (4, "d"), (None, None), (None, None)) == ends
+    assert rows(corpus_pipeline.exact_copies, (4, "a"), (5, "a"), (5, "c"), (4, "b")) == [(4, "b"), (5, "a"), (5, "c")]
+
+    # Alone, linked to a row with an id, linked to each other, repeated, sharing an id with a linked winner, without words.
+    assert rows(corpus_pipeline.near_copies, (None, near(0)), (2, near(1)), (None, near(1, 50)), (None, near(1))) == sorted([(None, near(0)), (2, near(1))], key=repr)
+    found = rows(corpus_pipeline.near_copies, (None, near(2)), (None, near(2, 50)), (7, near(3)), (7, near(3)), (7, near(4)), (3, near(4, 9)), (5, near(5)), (5, near(5, 20)), (None, " "), (8, ""))
+    assert [i for i, _ in found] == sorted([None, 7, 3, 5, None, 8], key=repr)
+    assert (7, near(3)) in found and (3, near(4, 9)) in found

@@ -188,3 +188,13 @@ def test_repeated_vectors_and_empty_tables(spark):
     table = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, embedding_links(table).collect())) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]
     assert embedding_links(table.where("false")).collect() == []
+
+
+def test_a_set_that_only_rows_without_ids_have_is_a_bridge(spark):
+    words = [f"w{i}" for i in range(100)]
+    # 0 and 2 fall short of the similarity with each other, each reaches it with 1.
+    texts = [" ".join(["a", *words[:90]]), " ".join(words), " ".join([*words[12:], "b"])]
+    want = brute_force([(1, texts[0]), (2, texts[2])])
+    assert want[1][1] != want[2][1]
+    table = spark.createDataFrame([(1, texts[0]), (2, texts[2]), (None, texts[1])], "doc_id long, text string")
+    assert {r.component_id for r in jaccard_components(table).collect()} == {1}

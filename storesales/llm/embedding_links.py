@@ -30,8 +30,9 @@ FEW = 64
 # Below this radius a node is not divided any more.
 SMALLEST = 1e-3
 
-# Bounds are taken this much wider than rounding errors, so that only exact comparisons decide at the edge.
-SLACK = 1e-9
+# Bounds are taken this much wider than rounding errors, so that only exact comparisons decide at the edge. Distances
+# of nearly equal vectors come from dot products near 1 and are off by up to some 1e-7.
+SLACK = 1e-6
 
 
 @dataclass

@@ -198,3 +198,14 @@ def test_a_set_that_only_rows_without_ids_have_is_a_bridge(spark):
     assert want[1][1] != want[2][1]
     table = spark.createDataFrame([(1, texts[0]), (2, texts[2]), (None, texts[1])], "doc_id long, text string")
     assert {r.component_id for r in jaccard_components(table).collect()} == {1}
+
+
+def test_slack_covers_rounding_of_small_distances():
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=(400, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    for gap in (1e-9, 2e-8, 1e-7, 1e-6):
+        b = a + gap / 8 * rng.choice([-1, 1], a.shape)
+        b /= np.linalg.norm(b, axis=1)[:, None]
+        near = np.array([links_module._distances(x[None], y[None])[0, 0] for x, y in zip(a, b, strict=True)])
+        assert np.abs(near - np.linalg.norm(a - b, axis=1)).max() < links_module.SLACK

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storesales.llm.language import identify, mixture, trigrams
-from storesales.llm.quality import forward_backward, lines_of, score_quality, with_neighbours
+from storesales.llm.quality import _sample, forward_backward, lines_of, score_quality, with_neighbours
 
 DATA = "/root/testdata/sf0.01"
 
@@ -122,3 +122,11 @@ def test_languages_without_text_or_labels(docs, no_docs, tricky):
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {(r.lang_pred, r.score) for r in identify(unlabelled).collect()} == {("und", 0.0)}
     assert identify(no_docs).collect() == []
+
+
+def test_an_id_is_learned_from_once_however_often_it_repeats(spark):
+    rows = [(i, f"text of {i}\nwith two lines") for i in range(40)] + [(7, f"again {k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(7, 1)], "doc_id long, quality int")
+    lines, known = _sample(docs, labels, "doc_id", "text", 5)
+    assert len(known) == len(lines.bounds) - 1 == sum(crc(i) % 5 != 0 for i in range(40))

@@ -22,8 +22,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A text of which its languages together, set against letters at random, make up less than this share goes.
 LEAST_SHARE = 0.5
 
-# Texts of fewer trigrams are too short to be told from letters at random, and stay.
-FEWEST_TRIGRAMS = 20
+# Texts of fewer trigrams, where one key or code can outweigh a sentence, are too short to be judged, and stay.
+FEWEST_TRIGRAMS = 100
 
 
 def _keep(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:

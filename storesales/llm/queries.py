@@ -15,6 +15,7 @@ from storesales.llm.exact_dedup import exact_dedup
 from storesales.llm.html_text import extract
 from storesales.llm.jaccard_join import jaccard_components
 from storesales.llm.language import identify
+from storesales.llm.lexical_search import search
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
 from storesales.llm.sentence_pieces import decode, encode
@@ -71,6 +72,10 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maximal_conversations(read(spark, sf_dir, "conversations"))
 
 
+def search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": quality_query,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op8_embedding_links": embedding_query,
         "op9_chat_format": chat_query,
         "op10_language": language_query,
+        "op11_lexical_search": search_query,
     }
 
 
@@ -129,6 +135,8 @@ def _component_sql(vertices: str, key: str) -> str:
     ), smallest AS (SELECT a AS {key}, min(b) AS component_id FROM reached GROUP BY a)"""
 
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 JACCARD_SQL = rf"""
@@ -170,8 +178,43 @@ FROM smallest
 """
 
 
+SEARCH_SQL = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS w
+    FROM documents
+), sized AS (
+    SELECT row, doc_id, len(w) AS n FROM docs WHERE len(w) > 0
+), totals AS (
+    SELECT count(*) AS all_n, CAST(sum(n) AS BIGINT) AS all_l FROM sized
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, text
+    FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)
+), asked AS (
+    SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term
+    FROM items
+), held AS (
+    SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * all_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM held, totals GROUP BY term, all_n
+), scores AS (
+    SELECT a.item, a.item_id, s.doc_id, s.row,
+           CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * all_n) // all_l)))) AS BIGINT) AS score
+    FROM asked AS a JOIN held AS h USING (term) JOIN weights USING (term) JOIN sized AS s ON s.row = h.row, totals
+    GROUP BY a.item, a.item_id, s.doc_id, s.row
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_lexical_search": SEARCH_SQL,
         "op4_jaccard_join": JACCARD_SQL,
         "op8_embedding_links": EMBEDDING_SQL,
         "op7_exact_dedup": EXACT_DEDUP_SQL,

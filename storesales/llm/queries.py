@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storesales.llm.chat import END, START, maximal_conversations
+from storesales.llm.collocations import collocations
 from storesales.llm.common import read
 from storesales.llm.embedding_links import embedding_links
 from storesales.llm.exact_dedup import exact_dedup
@@ -76,6 +77,10 @@ def search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def collocation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": quality_query,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op9_chat_format": chat_query,
         "op10_language": language_query,
         "op11_lexical_search": search_query,
+        "op12_collocations": collocation_query,
     }
 
 
@@ -212,8 +218,55 @@ SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE
 """
 
 
+COLLOCATION_SQL = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), lines AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), spelled AS (
+    SELECT lang, 1 AS words, unnest(w) AS phrase FROM lines
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM lines WHERE len(w) > 1
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    FROM lines WHERE len(w) > 2
+), counted AS (
+    SELECT lang, words, phrase, count(*) AS n FROM spelled GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counted WHERE words = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, words, phrase, n AS a, string_split(phrase, ' ') AS w FROM counted WHERE words > 1 AND n >= 10
+), cuts AS (
+    SELECT lang, words, phrase, a, 1 AS k, w[1] AS head, array_to_string(w[2:], ' ') AS tail FROM candidates
+    UNION ALL
+    SELECT lang, words, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE words = 3
+), scored AS (
+    SELECT c.*, x.n AS l, y.n AS r,
+           CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+    FROM cuts AS c
+    JOIN counted AS x ON x.lang = c.lang AND x.phrase = c.head
+    JOIN counted AS y ON y.lang = c.lang AND y.phrase = c.tail
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, part, max(a) AS longer
+    FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM candidates WHERE words = 3)
+    GROUP BY lang, part
+), kept AS (
+    SELECT s.* FROM lowest AS s LEFT JOIN inside AS i ON i.lang = s.lang AND i.part = s.phrase
+    WHERE s.words = 3 OR i.longer IS NULL OR 100 * i.longer < 50 * s.a
+)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
+FROM kept AS k JOIN totals AS t ON t.lang = k.lang
+QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_collocations": COLLOCATION_SQL,
         "op11_lexical_search": SEARCH_SQL,
         "op4_jaccard_join": JACCARD_SQL,
         "op8_embedding_links": EMBEDDING_SQL,

@@ -44,15 +44,15 @@ def runs_of(texts: pa.Array, wanted: np.ndarray, cutting: np.ndarray | None = No
     starts = offsets[:-1][offsets[:-1] < len(data)]
     first[starts] = inside[starts]
     kept = data[inside]
+    places = np.flatnonzero(first)
     ends = np.append(np.flatnonzero(first[inside]), len(kept)).astype(np.int64)
     strings = pa.Array.from_buffers(
-        pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(kept))]
+        pa.large_string(), len(places), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(kept))]
     )
-    before = np.concatenate([[0], np.cumsum(first)])
-    counts = before[offsets[1:]] - before[offsets[:-1]]
+    counts = np.diff(np.searchsorted(places, offsets))
     pieces = np.empty(0, np.int64)
     if cutting is not None:
         breaks = cutting[data]
         breaks[starts] = True
-        pieces = np.cumsum(breaks)[first]
+        pieces = np.searchsorted(np.flatnonzero(breaks), places, side="right")
     return Runs(strings, counts, pieces)

@@ -20,6 +20,7 @@ from storesales.llm.lexical_search import search
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
 from storesales.llm.sentence_pieces import decode, encode
+from storesales.llm.simhash import fingerprint_report
 from storesales.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,12 @@ def collocation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read(spark, sf_dir, "documents"))
 
 
+def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document; those near to it are counted for ids divisible by 20."""
+    docs = read(spark, sf_dir, "documents")
+    return fingerprint_report(docs, docs.where("doc_id % 20 = 0"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": quality_query,
@@ -95,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op10_language": language_query,
         "op11_lexical_search": search_query,
         "op12_collocations": collocation_query,
+        "op13_fingerprints": fingerprint_query,
     }
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storesales.llm.common import cut, plan_bytes, slices
-from storesales.llm.spans import byte_class, runs_of
-from storesales.llm.words import mix
+from storesales.llm.spans import byte_class, bytes_of, runs_of
+from storesales.llm.words import mix, run_codes
 from storesales.sources.shared import new_path, remove
 
 #: What ends a piece, and what stands between words.
@@ -30,18 +30,18 @@ NO_LANGUAGE = "und"
 LONGEST = 3
 
 # Shards that the documents are dealt to; a scan reads one.
-SHARDS = 3
+SHARDS = 4
 
 # Text that is counted at a time in a map task.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
-# Slots of the tables of active phrases: one per this many bytes of input, within these bounds.
-BYTES_PER_SLOT = 64
-FEWEST_SLOT_BITS, MOST_SLOT_BITS = 16, 25
+# Slots of the counters: one per this many bytes of input, within these bounds.
+BYTES_PER_SLOT = 16
+FEWEST_SLOT_BITS, MOST_SLOT_BITS = 16, 26
 PART = 1 << 14
 
-# In a table: no phrase of this slot has reached the threshold.
-NEVER = 255
+# In a table: the counter has not reached the threshold. Also the most that a counter holds.
+NEVER = MOST_COUNTED = 255
 
 # Rows of a batch that goes back to Spark.
 BATCH_ROWS = 1 << 16
@@ -49,32 +49,34 @@ BATCH_ROWS = 1 << 16
 # Sub-groups in which a language's best phrases are found before they meet.
 SALTS = 32
 
-STATE = "lang string, phrase string, words int, start int, n long"
+# What a scan gives: counts of phrases (of no words: all words of a language), or counters of slots.
+SCANNED = "lang string, phrase string, words int, n long, part int, slots binary"
 
 
 @dataclass
 class Active:
-    """The scan at whose end a phrase first reached the threshold, by its slot, for words and for pairs of words.
+    """By number of words, the scan at whose end the counter of a slot first reached the threshold.
 
-    Phrases that share a slot share the earliest scan, so some phrases are counted that need not be; none is missed.
+    Phrases that share a slot share its counter, so some are counted that need not be; none is missed.
     """
 
     bits: int
-    tables: list[np.ndarray]
+    reached: list[np.ndarray]
 
-    def reached(self, hashes: np.ndarray, words: int) -> np.ndarray:
-        return self.tables[words - 1][hashes >> np.uint64(64 - self.bits)].astype(np.int16)
+    def slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int32)
 
 
-def word_hashes(langs: list[str], words: list[bytes]) -> np.ndarray:
+def word_hashes(words: pa.Array, langs: pa.Array) -> np.ndarray:
     """A 64-bit hash of each word in its language; only for slots."""
-    seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass")) for lang in set(langs)}
-    found = (xxhash.xxh3_64_intdigest(w, seeds[lang]) for lang, w in zip(langs, words, strict=True))
-    return np.fromiter(found, np.uint64, len(words))
+    names = langs.dictionary_encode()
+    own = np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in names.dictionary.to_pylist()], np.uint64)
+    return mix(run_codes(*bytes_of(words)) + own[names.indices.to_numpy(zero_copy_only=False)])
 
 
-def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(mix(first) + np.uint64(0x9E3779B97F4A7C15) * second)
+def joint_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Of a phrase, from those of its first words and of its last one."""
+    return mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -103,11 +105,12 @@ def _distinct(langs: np.ndarray, codes: np.ndarray, n_langs: int, n_codes: int)
     return found // n_codes, found % n_codes, places
 
 
-def count_phrases(table: pa.Table, active: Active, scan: int, shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows of ``STATE`` with the phrases that scan ``scan`` counts in the texts, ``lang, text``, of ``table``.
+def count_phrases(table: pa.Table, active: Active, scan: int, shards: int, counters: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Rows of ``SCANNED`` with the phrases that scan ``scan`` counts in the texts, ``lang, text``, of ``table``.
 
-    A word is counted in the first ``shards`` scans, a longer phrase in as many from the one after both of its
-    subphrases have reached the threshold.
+    A phrase is counted in the ``shards`` scans after the one in which its own slot and those of all its parts had
+    reached the threshold. In the first scans, ``counters`` by number of words and slot are raised by all phrases, and
+    all words are counted by language.
     """
     lang_column, text = (pa.concat_arrays(table.column(c).chunks) for c in ("lang", "text"))
     found = runs_of(text, WORD_BYTES, CUTS)
@@ -119,91 +122,108 @@ def count_phrases(table: pa.Table, active: Active, scan: int, shards: int) -> It
     own_langs, own_words, word = _distinct(np.repeat(of_texts, found.counts), codes, len(langs.dictionary), len(coded.dictionary))
     lang_names = langs.dictionary.cast(pa.string()).take(pa.array(own_langs))
     spelled = coded.dictionary.cast(pa.string()).take(pa.array(own_words))
-    same = found.pieces[1:] == found.pieces[:-1]
-
-    def rows(first: np.ndarray, others: list[np.ndarray], start: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(first), BATCH_ROWS):
-            some = slice(at, at + BATCH_ROWS)
-            parts = [spelled.take(pa.array(w[some])) for w in (first, *others)]
-            phrase = pc.binary_join_element_wise(*parts, " ") if others else parts[0]
-            size = len(phrase)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    lang_names.take(pa.array(first[some])),
-                    phrase,
-                    pa.array(np.full(size, 1 + len(others), np.int32)),
-                    pa.array(start[some].astype(np.int32)),
-                    pa.array(n[some].astype(np.int64)),
-                ],
-                ["lang", "phrase", "words", "start", "n"],
-            )
-
-    if scan < shards:
-        yield from rows(np.arange(len(own_words)), [], np.zeros(len(own_words)), np.bincount(word))
-    if scan == 0 or len(word) < 2:
-        return
+    # Places of pairs within a piece, and of triples among these.
+    at = np.flatnonzero(found.pieces[1:] == found.pieces[:-1])
+    triple = np.flatnonzero(at[1:] == at[:-1] + 1)
+    del codes, found
+
+    def rows(n: np.ndarray, *parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(n), BATCH_ROWS):
+            some = [spelled.take(pa.array(w[i : i + BATCH_ROWS])) for w in parts]
+            phrase = pc.binary_join_element_wise(*some, " ") if len(some) > 1 else some[0]
+            yield _rows(lang_names.take(pa.array(parts[0][i : i + BATCH_ROWS])), phrase, len(parts), n[i : i + BATCH_ROWS])
+
+    hashes = word_hashes(spelled, lang_names)
+    word_slot = active.slots(hashes)
+    joint = joint_hashes(hashes[word[at]], hashes[word[at + 1]])
+    pair_slot = active.slots(joint)
+    triple_slot = active.slots(joint_hashes(joint[triple], hashes[word[at[triple] + 2]]))
+    del joint
+    if counters is not None:
+        _raise(counters[0], word_slot[word])
+        _raise(counters[1], pair_slot)
+        _raise(counters[2], triple_slot)
+        names = langs.dictionary.cast(pa.string())
+        totals = np.bincount(own_langs, np.bincount(word), len(names)).astype(np.int64)
+        yield _rows(names, pa.array([""] * len(names), pa.string()), 0, totals)
+
+    of_word = active.reached[0][word_slot]
+    chosen = _now(of_word, scan, shards)
+    yield from rows(np.bincount(word)[chosen], chosen)
+    of_word = of_word[word]
+    of_pair = np.maximum(np.maximum(of_word[at], of_word[at + 1]), active.reached[1][pair_slot])
+    chosen = at[_now(of_pair, scan, shards)]
+    keys, n = np.unique(word[chosen] << 32 | word[chosen + 1], return_counts=True)
+    yield from rows(n, keys >> 32, keys & 0xFFFFFFFF)
+    of_triple = np.maximum(np.maximum(of_pair[triple], of_pair[triple + 1]), active.reached[2][triple_slot])
+    chosen = at[triple[_now(of_triple, scan, shards)]]
+    heads, head = np.unique(word[chosen] << 32 | word[chosen + 1], return_inverse=True)
+    keys, n = np.unique(head << 32 | word[chosen + 2], return_counts=True)
+    head = heads[keys >> 32]
+    yield from rows(n, head >> 32, head & 0xFFFFFFFF, keys & 0xFFFFFFFF)
+
+
+def _rows(langs: pa.Array, phrases: pa.Array, words: int, n: np.ndarray) -> pa.RecordBatch:
+    size = len(n)
+    counted = [langs, phrases, pa.array(np.full(size, words, np.int32)), pa.array(n.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(
+        [*counted, pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], ["lang", "phrase", "words", "n", "part", "slots"]
+    )
 
-    hashes = word_hashes(lang_names.to_pylist(), spelled.cast(pa.binary()).to_pylist())
-    reached = active.reached(hashes, 1)[word]
-    begun = np.maximum(reached[:-1], reached[1:])
-    counted = same & (begun != NEVER) & (scan <= begun + shards)
-    pairs = word[:-1] << 32 | word[1:]
-    keys, n = np.unique(pairs[counted], return_counts=True)
-    first, second = keys >> 32, keys & 0xFFFFFFFF
-    of_word = active.reached(hashes, 1)
-    yield from rows(first, [second], np.maximum(of_word[first], of_word[second]) + 1, n)
-    if not (active.tables[1] != NEVER).any() or len(word) < 3:
-        return
 
-    pair_reached = np.full(len(pairs), NEVER, np.int16)
-    pair_reached[same] = active.reached(pair_hashes(hashes[word[:-1][same]], hashes[word[1:][same]]), 2)
-    begun = np.maximum(pair_reached[:-1], pair_reached[1:])
-    counted = np.flatnonzero((begun != NEVER) & (scan <= begun + shards))
-    heads, head = np.unique(pairs[:-1][counted], return_inverse=True)
-    keys, places, n = np.unique(head << 32 | word[2:][counted], return_index=True, return_counts=True)
-    first, second = heads[keys >> 32] >> 32, heads[keys >> 32] & 0xFFFFFFFF
-    yield from rows(first, [second, keys & 0xFFFFFFFF], begun[counted][places] + 1, n)
+def _now(reached: np.ndarray, scan: int, shards: int) -> np.ndarray:
+    """Which phrases, active from the end of scan ``reached`` on, are counted in this one."""
+    return np.flatnonzero((reached != NEVER) & (reached < scan) & (scan <= reached.astype(np.int16) + shards))
 
 
-def _slots(rows: DataFrame, bits: int) -> DataFrame:
-    """``part, slots``: the slots of words and of pairs, as bits of parts of the two tables."""
+def _raise(counters: np.ndarray, slots: np.ndarray) -> None:
+    slots = np.sort(slots)
+    firsts = np.flatnonzero(np.diff(slots, prepend=-1))
+    found, n = slots[firsts], np.diff(firsts, append=len(slots))
+    counters[found] = np.minimum(counters[found] + n, MOST_COUNTED)
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((2, 1 << bits), bool)
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            words = [p.encode("utf-8", "surrogatepass").split(b" ") for p in batch.column("phrase").to_pylist()]
-            first = word_hashes(langs, [w[0] for w in words])
-            last = word_hashes(langs, [w[-1] for w in words])
-            single = np.array([len(w) == 1 for w in words], bool)
-            tables[0][first[single] >> np.uint64(64 - bits)] = True
-            tables[1][pair_hashes(first[~single], last[~single]) >> np.uint64(64 - bits)] = True
-        yield _packed(tables.reshape(-1, PART))
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _parts(numbers: list[int], slots: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(slots, pa.binary())], ["part", "slots"])
+
+
+def _part(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.uint8)
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    """``part, slots``: a row per part, with the sums of its bytes, ``MOST_COUNTED`` at most."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, packed in zip(batch.column("part").to_pylist(), batch.column("slots").to_pylist(), strict=True):
-                some = _unpacked(packed)
-                held[part] = held[part] | some if part in held else some
-        yield _packed(np.array(list(held.values())).reshape(-1, PART), list(held))
+                sums = held.get(part, 0) + _part(packed).astype(np.int64)
+                held[part] = np.minimum(sums, MOST_COUNTED).astype(np.uint8)
+        yield _parts(list(held), [zlib.compress(x.tobytes(), 1) for x in held.values()])
 
-    return rows.mapInArrow(mark, "part int, slots binary").repartition("part").mapInArrow(merge, "part int, slots binary")
+    return parts.repartition("part").mapInArrow(add, "part int, slots binary")
 
 
-def _packed(parts: np.ndarray, numbers: list[int] | None = None) -> pa.RecordBatch:
-    kept = np.flatnonzero(parts.any(axis=1)) if len(parts) else []
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([numbers[i] if numbers else i for i in kept], pa.int32()),
-            pa.array([zlib.compress(np.packbits(parts[i]).tobytes(), 1) for i in kept], pa.binary()),
-        ],
-        ["part", "slots"],
-    )
+def _enter(active: Active, counters: DataFrame, threshold: int, scan: int) -> None:
+    """Enter the scan where counters have reached the threshold and nothing is entered yet.
+
+    What reaches the driver is at most a bit per slot.
+    """
+    least = min(threshold, MOST_COUNTED)
 
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reached = [np.packbits(_part(p) >= least) for p in batch.column("slots").to_pylist()]
+            kept = [i for i, r in enumerate(reached) if r.any()]
+            numbers = batch.column("part").to_pylist()
+            yield _parts([numbers[i] for i in kept], [zlib.compress(reached[i].tobytes(), 1) for i in kept])
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).astype(bool)
+    parted = [table.reshape(-1, PART) for table in active.reached]
+    for row in counters.mapInArrow(bits, "part int, slots binary").toLocalIterator():
+        table, part = divmod(row["part"], len(parted[0]))
+        new = np.unpackbits(_part(row["slots"])).astype(bool) & (parted[table][part] == NEVER)
+        parted[table][part][new] = scan
 
 
 def frequent_phrases(
@@ -212,80 +232,75 @@ def frequent_phrases(
     """``lang, phrase, words, n`` of all phrases of up to ``LONGEST`` words with ``n >= threshold``, and ``lang, n`` of all words.
 
     Documents are dealt to ``shards`` shards, once. Scans read one shard after
-    the other, round and round. Words are counted from the first scan on. A
-    phrase becomes active at the end of the scan in which the counts of both its
-    subphrases (all its words but the last, all but the first) have reached the
-    threshold, and is counted in the next ``shards`` scans, so in every shard
-    once, while other lengths are counted in the same scans. It ends when no
-    phrase is left that has not been counted all around.
-
-    A scan's counts are summed up within each chunk of text, then in one shuffle
-    together with the counts of phrases that are not yet all around. Phrases
-    that end below the threshold fall away. Which phrases are active is
-    broadcast as two tables of hashed slots of a byte each, whose size follows
-    the input up to 2**``MOST_SLOT_BITS``. A slot too many costs time only.
+    the other, twice round. Counters of a byte for hashed slots, summed over all
+    documents, tell early what may be frequent: in the first round each scan
+    raises them by all phrases of its shard. A phrase becomes active at the end
+    of the scan in which the counters of its subphrases (all its words but the
+    last, all but the first) and its own have reached the threshold. From the
+    next scan on it is counted by its words, in as many scans as there are
+    shards, so in every shard once; phrases of all lengths are counted in the
+    same scans. By the end of the first round all that are frequent are active,
+    so the second one completes every count.
+
+    A scan's counts are summed up within each chunk of text, then all scans'
+    in one shuffle. Counters are broadcast, in tables whose size follows the
+    input up to 2**``MOST_SLOT_BITS`` bytes per length. Crowded slots make
+    phrases active that are not frequent, which costs time only.
     """
+    if not 1 <= shards < NEVER // 2:
+        raise ValueError(f"shards must be from 1 to {NEVER // 2 - 1}")
     spark = docs.sparkSession
     wanted = max(1, min(plan_bytes(docs), 1 << 55) // BYTES_PER_SLOT)
     bits = int(math.log2(min(1 << MOST_SLOT_BITS, max(1 << FEWEST_SLOT_BITS, wanted))))
-    place = new_path(spark, "phrases-shards")
     texts = docs.select(F.coalesce(lang_col, F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(text_col, F.lit("")).alias("text"))
     texts = texts.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int"))
+    place = new_path(spark, "phrases-shards")
     texts.write.option("compression", "zstd").partitionBy("shard").parquet(place)
     dealt = spark.read.schema(texts.schema).parquet(place)
 
-    active = Active(bits, [np.full(1 << bits, NEVER, np.uint8) for _ in range(LONGEST - 1)])
-    state, state_place, done, totals = None, None, [], None
-    scan, last = 0, shards - 1
-    while scan <= last:
-        counted = _scan(dealt, active, scan, shards)
-        going = F.col("start") + shards > scan
-        if state is not None:
-            counted = counted.unionByName(state.where(going))
-        summed = counted.groupBy("lang", "phrase", "words", "start").agg(F.sum("n").alias("n"))
-        # The last row of a phrase is the one whose scans have all been made; of words all are needed once, for the totals.
-        going = F.col("start") + shards - 1 > scan
-        before, state_place = state_place, new_path(spark, "phrases-state")
-        summed.where(going | (F.col("n") >= threshold) | (F.col("words") == 1)).write.option("compression", "zstd").parquet(state_place)
-        state = spark.read.schema(STATE).parquet(state_place)
-        if before:
-            remove(spark, before)
-        if scan >= shards - 1:
-            done.append(cut(state.where(~going & (F.col("n") >= threshold)).select("lang", "phrase", "words", "n"), "phrases-done"))
-        if scan == shards - 1:
-            totals = cut(state.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-        reached = state.where((F.col("n") >= threshold) & (F.col("words") < LONGEST)).select("lang", "phrase")
-        if _activate(active, reached, scan):
-            last = max(last, scan + shards)
-        scan += 1
-    remove(spark, state_place)
+    active = Active(bits, [np.full(1 << bits, NEVER, np.uint8) for _ in range(LONGEST)])
+    scans, counters = [], None
+    for scan in range(shards):
+        scanned = cut(_scan(dealt, active, scan, shards), "phrases-scanned")
+        parts = scanned.where("part IS NOT NULL").select("part", "slots")
+        counters = cut(_summed(parts if counters is None else parts.unionByName(counters)), "phrases-counters")
+        _enter(active, counters, threshold, scan)
+        scans.append(scanned)
+    totals = cut(_all(scans).where("words = 0").groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
+    scans += [_scan(dealt, active, scan, shards) for scan in range(shards, 2 * shards)]
+    counted = _all(scans).where("words > 0").groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
+    phrases = cut(counted.where(F.col("n") >= threshold), "phrases-counted")
     remove(spark, place)
-    phrases = done[0]
-    for more in done[1:]:
-        phrases = phrases.unionByName(more)
     return phrases, totals
 
 
+def _all(frames: list[DataFrame]) -> DataFrame:
+    result = frames[0]
+    for more in frames[1:]:
+        result = result.unionByName(more)
+    return result
+
+
 def _scan(dealt: DataFrame, active: Active, scan: int, shards: int) -> DataFrame:
     shared = dealt.sparkSession.sparkContext.broadcast(active)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = None
         for table in _chunks(batches):
-            yield from count_phrases(table, shared.value, scan, shards)
-
-    return dealt.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(count, STATE)
-
-
-def _activate(active: Active, reached: DataFrame, scan: int) -> bool:
-    """Enter what has reached the threshold by the end of this scan; whether there is anything new."""
-    fresh = False
-    parts = [table.reshape(-1, PART) for table in active.tables]
-    for row in _slots(reached, active.bits).toLocalIterator():  # at most two tables of bits
-        table, part = divmod(row["part"], len(parts[0]))
-        new = _unpacked(row["slots"]) & (parts[table][part] == NEVER)
-        parts[table][part][new] = scan
-        fresh |= bool(new.any())
-    return fresh
+            if counters is None and scan < shards:
+                counters = np.zeros((LONGEST, 1 << shared.value.bits), np.uint8)
+            yield from count_phrases(table, shared.value, scan, shards, counters)
+        if counters is None:
+            return
+        parted = counters.reshape(-1, PART)
+        numbers = np.flatnonzero(parted.any(axis=1)).tolist()
+        for at in range(0, len(numbers), 256):
+            own = numbers[at : at + 256]
+            nothing = [pa.nulls(len(own), t) for t in (pa.string(), pa.string(), pa.int32(), pa.int64())]
+            some = _parts(own, [zlib.compress(parted[i].tobytes(), 1) for i in own])
+            yield pa.RecordBatch.from_arrays([*nothing, *some.columns], ["lang", "phrase", "words", "n", "part", "slots"])
+
+    return dealt.where(F.col("shard") == scan % shards).select("lang", "text").mapInArrow(count, SCANNED)
 
 
 def _joined(*words: Column) -> Column:

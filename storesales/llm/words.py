@@ -29,6 +29,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def run_codes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of strings of a byte or more that lie end to end; ``ends`` holds where each begins, and the last one's end."""
+    lengths = np.diff(ends)
+    hashes = np.empty(len(lengths), np.uint64)
+    i = 0
+    while i < len(lengths):  # in blocks, since the codes take many times the place of the bytes
+        j = max(i + 1, int(np.searchsorted(ends[1:], ends[i] + BLOCK_BYTES, side="right")))
+        firsts = ends[i:j] - ends[i]
+        place = np.arange(int(ends[j] - ends[i])) - np.repeat(firsts, lengths[i:j])
+        codes = _BYTE_CODES[data[ends[i] : ends[j]]] * _POWER_CODES[place % _POWERS]
+        hashes[i:j] = mix(np.add.reduceat(codes, firsts) + lengths[i:j].astype(np.uint64))
+        i = j
+    return hashes
+
+
 @dataclass
 class Words:
     """Texts laid end to end, each closed by a line feed, and the words in them."""
@@ -51,19 +66,7 @@ def words_of(texts: list[str], lower: bool = False) -> Words:
     edges = np.diff(inside.astype(np.int8), prepend=0)
     starts = np.flatnonzero(edges == 1)
     lengths = np.flatnonzero(edges == -1) - starts  # the last line feed closes the last word
-    hashes = np.empty(len(starts), np.uint64)
-    ends = np.cumsum(lengths)
-    i = 0
-    while i < len(starts):  # in blocks, since the codes take many times the place of the bytes
-        before = int(ends[i - 1]) if i else 0
-        j = max(i + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
-        some = lengths[i:j]
-        firsts = np.cumsum(some) - some
-        place = np.arange(int(some.sum())) - np.repeat(firsts, some)
-        span = slice(int(starts[i]), int(starts[j - 1] + lengths[j - 1]))
-        codes = _BYTE_CODES[data[span][inside[span]]] * _POWER_CODES[place % _POWERS]
-        hashes[i:j] = mix(np.add.reduceat(codes, firsts) + some.astype(np.uint64))
-        i = j
+    hashes = run_codes(data[inside], np.concatenate([[0], np.cumsum(lengths)]))
     return Words(data, text_starts, starts, lengths, hashes, np.searchsorted(starts, text_starts))
 
 

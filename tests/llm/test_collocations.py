@@ -92,28 +92,34 @@ def test_crowded_slots_change_nothing(spark, rows, monkeypatch):
 
 def test_a_phrase_waits_for_its_subphrases_and_is_counted_once_around():
     table = pa.table({"lang": ["en"], "text": ["a b c"]})
-    bits = 20
-
-    def counted(active, scan):
-        rows = [r for b in count_phrases(table, active, scan, 3) for r in b.to_pylist()]
-        return {(r["phrase"], r["start"]): r["n"] for r in rows}
-
-    def at(words):
-        hashes = module.word_hashes(["en"] * len(words), [w.encode() for w in words])
-        return hashes >> np.uint64(64 - bits), hashes
-
-    active = Active(bits, [np.full(1 << bits, NEVER, np.uint8) for _ in range(2)])
-    assert counted(active, 1) == {("a", 0): 1, ("b", 0): 1, ("c", 0): 1}
-    slots, hashes = at("abc")
-    active.tables[0][slots[:2]] = 0
-    assert ("a b", 1) in counted(active, 1) and ("b c", 2) not in counted(active, 2)
-    active.tables[0][slots[2]] = 1
-    assert counted(active, 3) == {("a b", 1): 1, ("b c", 2): 1}
-    assert counted(active, 4) == {("b c", 2): 1}
-    pairs = module.pair_hashes(hashes[:2], hashes[1:])
-    active.tables[1][pairs >> np.uint64(64 - bits)] = [3, 4]
-    assert counted(active, 5) == counted(active, 7) == {("a b c", 5): 1}
-    assert counted(active, 8) == {}
+    active = Active(20, [np.full(1 << 20, NEVER, np.uint8) for _ in range(3)])
+
+    def counted(scan, counters=None):
+        rows = [r for b in count_phrases(table, active, scan, 3, counters) for r in b.to_pylist()]
+        return {r["phrase"]: r["n"] for r in rows}
+
+    hashes = module.word_hashes(pa.array(list("abc")), pa.array(["en"] * 3))
+    pairs = module.joint_hashes(hashes[:2], hashes[1:])
+    triple = module.joint_hashes(pairs[:1], hashes[2:])
+    counters = np.zeros((3, 1 << 20), np.uint8)
+    assert counted(0, counters) == {"": 3}
+    for table_, expected in zip(counters, (hashes, pairs, triple), strict=True):
+        assert set(np.flatnonzero(table_)) == set(active.slots(expected))
+    active.reached[0][active.slots(hashes[:2])] = 0
+    active.reached[1][active.slots(pairs)] = [1, 0]
+    assert counted(0) == {} and counted(1) == {"a": 1, "b": 1} and counted(2) == {"a": 1, "b": 1, "a b": 1}
+    active.reached[0][active.slots(hashes[2:])] = 2
+    assert counted(3) == {"a": 1, "b": 1, "a b": 1, "c": 1, "b c": 1}
+    assert counted(4) == {"a b": 1, "c": 1, "b c": 1}
+    active.reached[2][active.slots(triple)] = 0
+    assert counted(5) == {"c": 1, "b c": 1, "a b c": 1} and counted(6) == {}
+
+
+def test_counters_do_not_wrap():
+    counters = np.zeros(8, np.uint8)
+    module._raise(counters, np.array([3] * 70_000 + [5]))
+    module._raise(counters, np.array([5, 5]))
+    assert counters.tolist() == [0, 0, 0, 255, 0, 3, 0, 0]
 
 
 def test_empty_table(spark, no_docs):

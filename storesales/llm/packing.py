@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storesales.llm.common import cut, slices, texts_of, type_of
-from storesales.llm.pretokens import BYTE_LEVEL, PLAIN, PretokenCache, merge_all, tokenizer
+from storesales.llm.pretokens import PretokenCache, merge_bytes, parts_of, tokenizer, unusual
 
 # Dimensions of the projected document vectors, and bits of each in the curve's key.
 DIMENSIONS, BITS = 4, 12
@@ -27,29 +28,52 @@ _caches: dict[str, PretokenCache] = {}
 def _ids_of(path: str) -> PretokenCache:
     if path not in _caches:
         _caches.clear()
-        _caches[path] = PretokenCache(merge_all(path), lambda ids: np.array(ids, IDS).tobytes())
+        _caches[path] = PretokenCache(merge_bytes(path), lambda ids: array("H", ids).tobytes())
     return _caches[path]
 
 
-def _encode(texts: list[str], path: str, special: tuple[str, ...]) -> list[bytes]:
-    words = [BYTE_LEVEL.findall(t) if PLAIN(t) and not any(s in t for s in special) else None for t in texts]
-    known = _ids_of(path)
-    known.learn(w for ws in words if ws for w in ws)
-    return [
-        np.array(tokenizer(path).encode(t, add_special_tokens=False).ids, IDS).tobytes()
-        if ws is None
-        else b"".join(map(known.__getitem__, ws))
-        for t, ws in zip(texts, words, strict=True)
-    ]
+def encode(texts: pa.Array, path: str, special: tuple[str, ...], end: int, directions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of all texts, each closed by ``end``, laid end to end; their numbers, and the sums of their directions.
+
+    Ids and sums are looked up by distinct part and put together by the parts' numbers.
+    """
+    whole = unusual(texts, special, mixed_space=True)
+    found, counts = parts_of(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, keep_space=True)
+    coded = found.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    held = _ids_of(path).values_of(coded.dictionary.to_pylist())
+    closing = len(held)
+    held.append(np.array([end], IDS).tobytes())
+    # A text that is encoded whole has a single part of its own.
+    ends, added = np.cumsum(counts), []
+    for i, alone in enumerate(whole.tolist()):
+        if alone:
+            added.append((ends[i], len(held)))
+            held.append(np.array(tokenizer(path).encode(texts[i].as_py(), add_special_tokens=False).ids, IDS).tobytes())
+        added.append((ends[i], closing))
+    codes = np.insert(codes, *np.array(added, np.int64).T)
+    counts = counts + 1 + whole
+
+    ids = np.frombuffer(b"".join(held), IDS)
+    lengths = np.array([len(h) // IDS.itemsize for h in held])
+    firsts = np.cumsum(lengths) - lengths
+    running = np.concatenate([np.zeros((1, directions.shape[1]), np.int64), np.cumsum(directions[ids], axis=0)])
+    sums = running[firsts + lengths] - running[firsts]
+    parts = lengths[codes]
+    before = np.cumsum(parts) - parts
+    flat = ids[np.repeat(firsts[codes] - before, parts) + np.arange(int(parts.sum()))]
+    starts = np.cumsum(counts) - counts
+    places = np.column_stack([np.add.reduceat(sums[:, j][codes], starts) for j in range(sums.shape[1])])
+    return flat, np.add.reduceat(parts, starts), places
 
 
 def _directions() -> np.ndarray:
-    """A hashed direction for every possible id: the random projection of its one-hot vector."""
+    """A hashed direction for every possible id, in units of 2**-23: the random projection of its one-hot vector."""
     ids = np.arange(1 << 16, dtype=np.uint64)[:, None] * np.uint64(DIMENSIONS) + np.arange(DIMENSIONS, dtype=np.uint64)
     ids = (ids + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     ids = (ids ^ (ids >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     ids ^= ids >> np.uint64(27)
-    return ((ids >> np.uint64(40)).astype(np.float64) / (1 << 23) - 1.0).astype(np.float32)
+    return (ids >> np.uint64(40)).astype(np.int64) - (1 << 23)
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -109,19 +133,19 @@ def pack(
     """
     texts = texts_of(docs, id_col, text_col)
     kind = type_of(texts, "doc_id")
-    end = np.array([end_id], IDS).tobytes()
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions = _directions()
         for batch in slices(batches):
-            ids = [x + end for x in _encode(batch.column("text").to_pylist(), path, special)]
-            sizes = np.array([len(x) // IDS.itemsize for x in ids])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            places = directions[np.frombuffer(b"".join(ids), IDS)]
-            means = np.add.reduceat(places, starts, axis=0, dtype=np.float64) / sizes[:, None]
+            flat, sizes, sums = encode(batch.column("text"), path, special, end_id, directions)
+            means = sums / sizes[:, None] / (1 << 23)
             cells = np.clip((means * 2 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
+            bounds = np.concatenate([[0], np.cumsum(sizes)]) * IDS.itemsize
+            ids = pa.Array.from_buffers(
+                pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(hilbert_key(cells)), pa.array(sizes), pa.array(ids, pa.binary())],
+                [batch.column("doc_id"), pa.array(hilbert_key(cells)), pa.array(sizes), ids.cast(pa.binary())],
                 ["doc_id", "curve", "size", "ids"],
             )
 
@@ -137,7 +161,7 @@ def pack(
             before = int(ends[-1]) if len(ends) else before
 
     encoded = cut(
-        texts.mapInArrow(encode, f"doc_id {kind}, curve long, size long, ids binary").withColumn(
+        texts.mapInArrow(encoded_batches, f"doc_id {kind}, curve long, size long, ids binary").withColumn(
             "row", F.monotonically_increasing_id()
         ),
         "packing-ids",

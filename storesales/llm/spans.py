@@ -12,7 +12,7 @@ from storesales.llm.words import LOWER
 
 @dataclass
 class Runs:
-    """The maximal runs of wanted bytes of each text, A-Z in lower case, in the order of the texts."""
+    """The maximal runs of wanted bytes of each text, in the order of the texts."""
 
     strings: pa.Array
     counts: np.ndarray  # runs of each text
@@ -27,17 +27,28 @@ def byte_class(*chosen: int | range) -> np.ndarray:
     return table
 
 
-def runs_of(texts: pa.Array, wanted: np.ndarray, cutting: np.ndarray | None = None) -> Runs:
-    """Runs of the bytes that ``wanted`` tells, of ``texts`` without NULL; ``wanted`` must hold all bytes from 128 on or none.
-
-    ``cutting`` tells the bytes that end a piece.
-    """
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ``texts`` (without NULL) laid end to end, and where each begins, and the last one ends."""
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
     held = texts.buffers()[2]
     raw = np.frombuffer(held, np.uint8) if held is not None and held.size else np.empty(0, np.uint8)
-    data = LOWER[raw[offsets[0] : offsets[-1]]]
-    offsets = offsets - offsets[0]
+    return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def strings_of(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Strings that lie end to end in ``data``; ``ends`` holds where each begins, and the last one's end."""
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_string(), len(ends) - 1, buffers)
+
+
+def runs_of(texts: pa.Array, wanted: np.ndarray, cutting: np.ndarray | None = None, lower: bool = True) -> Runs:
+    """Runs of the bytes that ``wanted`` tells, of ``texts`` without NULL; it must hold all bytes from 128 on or none.
+
+    ``cutting`` tells the bytes that end a piece; ``lower`` puts A-Z into lower case.
+    """
+    data, offsets = bytes_of(texts)
+    data = LOWER[data] if lower else data
     inside = wanted[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -45,10 +56,7 @@ def runs_of(texts: pa.Array, wanted: np.ndarray, cutting: np.ndarray | None = No
     first[starts] = inside[starts]
     kept = data[inside]
     places = np.flatnonzero(first)
-    ends = np.append(np.flatnonzero(first[inside]), len(kept)).astype(np.int64)
-    strings = pa.Array.from_buffers(
-        pa.large_string(), len(places), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(kept))]
-    )
+    strings = strings_of(kept, np.append(np.flatnonzero(first[inside]), len(kept)))
     counts = np.diff(np.searchsorted(places, offsets))
     pieces = np.empty(0, np.int64)
     if cutting is not None:

@@ -6,13 +6,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storesales.llm.common import slices, texts_of, type_of
-from storesales.llm.pretokens import PLAIN, WORD_ENDS, PretokenCache, encode_all, tokenizer
+from storesales.llm.pretokens import PretokenCache, merge_words, parts_of, tokenizer, unusual
 
 # Rows of the broadcast table; with words of ordinary length it stays below 1 MB.
 FREQUENT = 65_536
@@ -25,15 +26,16 @@ SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 _caches: dict[tuple[str, int], PretokenCache] = {}
 
 
-def _words(text: str) -> list[str] | None:
-    """The pre-tokens of a text; None if the library has to find them."""
-    if not PLAIN(text) or "<|" in text and any(s in text for s in SPECIAL):
-        return None
-    return WORD_ENDS.findall(text.lower())
+def _parts(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Which texts the library has to count whole, the distinct parts of the others, all parts' numbers, and how many each text has."""
+    whole = unusual(texts, SPECIAL, mixed_space=False)
+    found, counts = parts_of(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, keep_space=False)
+    coded = found.dictionary_encode()
+    return whole, coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
 
 
 def frequent_pretokens(texts: DataFrame, most: int = FREQUENT) -> list[str]:
-    """About the ``most`` most frequent pre-tokens of all texts.
+    """About the ``most`` most frequent pre-tokens of all texts, in any script.
 
     Each map task counts its own, forgets the rarer half whenever it holds more
     than ``COUNTED``, and hands on its ``HANDED_ON`` most frequent ones; only
@@ -43,8 +45,8 @@ def frequent_pretokens(texts: DataFrame, most: int = FREQUENT) -> list[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                seen.update(_words(text) or ())
+            _, words, codes, _ = _parts(batch.column("text"))
+            seen.update(dict(zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True)))
             if len(seen) > COUNTED:
                 seen = Counter(dict(seen.most_common(COUNTED // 2)))
         top = seen.most_common(HANDED_ON)
@@ -98,24 +100,21 @@ def count_tokens(
         key = (path, zlib.crc32(shared.value))
         if key not in _caches:
             _caches.clear()
-            _caches[key] = PretokenCache(encode_all(path), len, unpack_table(shared.value))
+            _caches[key] = PretokenCache(merge_words(path), len, unpack_table(shared.value))
         lengths = _caches[key]
         for batch in slices(batches):
-            texts = batch.column("text").to_pylist()
-            words = [_words(t) for t in texts]
-            lengths.learn(w for ws in words if ws for w in ws)
-            counts = [
-                len(tokenizer(path).encode(t, add_special_tokens=False).ids)
-                if ws is None
-                else sum(map(lengths.__getitem__, ws))
-                for t, ws in zip(texts, words, strict=True)
-            ]
+            whole, words, codes, parts = _parts(batch.column("text"))
+            totals = np.concatenate([[0], np.cumsum(np.array(lengths.values_of(words), np.int64)[codes])])
+            ends = np.cumsum(parts)
+            counts = totals[ends] - totals[ends - parts]
+            for i in np.flatnonzero(whole):
+                counts[i] = len(tokenizer(path).encode(batch.column("text")[i].as_py(), add_special_tokens=False).ids)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pc.binary_length(batch.column("text")).cast(pa.int64()),
                     pa.array(counts, pa.int64()),
-                    pa.array([n > limit for n in counts], pa.bool_()),
+                    pa.array(counts > limit, pa.bool_()),
                 ],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )

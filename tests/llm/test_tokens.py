@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -35,18 +36,20 @@ def test_counts_are_the_librarys(docs, tricky):
 
 def test_a_full_cache_starts_anew():
     cache = pretokens.PretokenCache(pretokens.encode_all(WORDS), len, {"the": 1}, limit=3)
-    for words in (["a", "b", "c"], ["d", "e"], (w for w in ["f", "a", "the"])):
-        words = list(words)
-        cache.learn(iter(words))
-        assert all(w in cache for w in words) and "the" in cache and len(cache) <= 4
+    for words in (["a", "b", "c"], ["d", "e"], ["f", "a", "the"], ["x" * 1000], list("abcdefgh")):
+        assert cache.values_of(words) == [len(ids(WORDS, w)) for w in words]
+        assert "the" in cache and len(cache) <= 4 and "x" * 1000 not in cache
 
 
 def test_merges_are_the_librarys():
     rng = random.Random(4)
     chars = [chr(c) for c in range(0x20, 0x180)] + list("\n\t  etaoinshr")
     words = ["".join(rng.choice(chars) for _ in range(rng.randint(1, 12))) for _ in range(500)]
-    parts = [p for w in words for p in pretokens.BYTE_LEVEL.findall(w) if pretokens.PLAIN(w)]
-    assert pretokens.merge_all(BYTES)(parts) == pretokens.encode_all(BYTES)(parts)
+    words += ["“odd”", "东京", " it's", "  ", "a\u00a0b", "don't", "x²", "İ", "42", "\x1c"]
+    texts = pa.array(words)
+    for path, merge, keep_space in ((BYTES, pretokens.merge_bytes, True), (WORDS, pretokens.merge_words, False)):
+        parts = pretokens.parts_of(texts, keep_space)[0].unique().to_pylist()
+        assert merge(path)(parts) == pretokens.encode_all(path)(parts)
 
 
 def test_table_round_trip():
@@ -54,19 +57,41 @@ def test_table_round_trip():
     assert unpack_table(pack_table([], WORDS)) == {}
 
 
-def test_pretokens_agree_with_the_library_on_random_text():
+ODD = list("\t\n\r\x0b\x0c\x1c\x00  \'\'\'\'sstmdlrveSTD.,") * 8
+ODD += list("\u00a0\u0085\u2003\u3000“”’—–éÉßŉİΣςсловоДΩ東京ไทย🎉\u0301\u0307\u0331HKÅ²½٣") * 2
+
+
+def test_runs_are_encoded_as_the_library_does_in_place():
     library = {path: Tokenizer.from_file(path) for path in (WORDS, BYTES)}
-    chars = [chr(c) for c in range(0x20, 0x180)] + list("\t\n\r  ''''sstmdlrve") * 8
+    chars = [chr(c) for c in range(0x20, 0x180)] + ODD
     rng = random.Random(1)
-    for _ in range(1500):
-        text = "".join(rng.choice(chars) for _ in range(rng.randint(0, 30)))
-        words = token_counts._words(text)
-        if words is not None:
-            n = sum(len(library[WORDS].encode(w, add_special_tokens=False).ids) for w in words)
-            assert n == len(library[WORDS].encode(text, add_special_tokens=False).ids), repr(text)
-        if pretokens.PLAIN(text):
-            parts = [library[BYTES].encode(w, add_special_tokens=False).ids for w in pretokens.BYTE_LEVEL.findall(text)]
-            assert [i for p in parts for i in p] == library[BYTES].encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    texts += ["", " ", "  a", "a  ", "<|endoftext|>", "x <|EndOfText|> y", "a \u00a0b", "a\u00a0 b"]
+    for path, mixed in ((WORDS, False), (BYTES, True)):
+        column = pa.array(["unused", *texts]).slice(1)
+        whole = pretokens.unusual(column, ("<|endoftext|>", "<|startoftext|>"), mixed)
+        assert whole.sum() < (0.6 if mixed else 0.01) * len(texts)
+        runs, counts = pretokens.parts_of(column, keep_space=mixed)
+        merge = pretokens.merge_bytes if mixed else pretokens.merge_words
+        held = dict(zip(runs.unique().to_pylist(), merge(path)(runs.unique().to_pylist()), strict=True))
+        runs, at = runs.to_pylist(), 0
+        for text, n, w in zip(texts, counts, whole, strict=True):
+            found = [i for r in runs[at : at + n] for i in held[r]]
+            at += n
+            if not w:
+                assert found == library[path].encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_scripts_and_typographic_signs_use_both_tiers(spark):
+    """No text goes to the library whole; frequent runs come from the table."""
+    texts = ["“Quoted” — it’s naïve…", "слово за слово", "東京 タワー と 東京", "prix : 10 000 €"] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    top = token_counts.frequent_pretokens(docs, 10)
+    assert {"слово", "東京"} <= set(top)
+    assert not pretokens.unusual(pa.array(texts), token_counts.SPECIAL, True).any()
+    found = {r.doc_id: r.n_tokens for r in count_tokens(docs, WORDS, frequent=10).collect()}
+    assert found == {i: len(ids(WORDS, t)) for i, t in enumerate(texts)}
 
 
 def test_empty_tables(no_docs):

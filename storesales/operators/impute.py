@@ -33,9 +33,17 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fill_mode(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace NULLs in the categorical ``columns`` by the column's mode."""
-    best = modes(df, columns).select(F.struct(*columns)).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), best[c]) for c in columns})
+    """Replace NULLs in the categorical ``columns`` by the column's mode.
+
+    Values are counted only of columns that have a NULL, which one aggregate
+    without a shuffle of values tells.
+    """
+    found = df.agg(*[F.bool_or(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    with_nulls = [c for c, some in zip(columns, found, strict=True) if some]
+    if not with_nulls:
+        return df
+    best = modes(df, with_nulls).select(F.struct(*with_nulls)).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), best[c]) for c in with_nulls})
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from storesales.functions.casts import INTEGERS, WHOLE_NUMBER
 from storesales.sources.schemas import EXPECTED_TYPES, RAW_FILES
-from storesales.sources.shared import checkpoint, concurrently, exists, move, remove
+from storesales.sources.shared import checkpoint, concurrently, current, exists, publish, remove
 
 MALFORMED = "__malformed"
 
@@ -157,27 +157,42 @@ def write_typed(text: DataFrame, name: str, path: str) -> DataFrame:
 def load_all(
     spark: SparkSession, source_dir: str, out_dir: str, multi_line: bool = False
 ) -> dict[str, DataFrame]:
-    """Load all tables into Parquet under ``out_dir``; on any failure write nothing and name them all."""
+    """Load all tables into Parquet under ``out_dir``; on any failure write nothing and name them all.
+
+    A load writes all tables into a folder of its own, which then becomes the
+    current one at once: a load that dies leaves the tables of the one before,
+    never some of each. ``read_loaded`` finds them.
+    """
     loaded, failures = {}, {}
-    around = out_dir.rstrip("/").rpartition("/")[0]
-    new = around and not exists(spark, around)
-    aside = f"{out_dir.rstrip('/')}-loading-{uuid.uuid4().hex}"
+    root = out_dir.rstrip("/")
+    around = root.rpartition("/")[0]
+    new = next((path for path in (around, root) if path and not exists(spark, path)), None)
+    name = f"load-{uuid.uuid4().hex}"
+    place = f"{root}/{name}"
 
-    def load(name: str) -> None:
+    def load(table: str) -> None:
         try:
-            text = read_csv(spark, name, f"{source_dir}/{RAW_FILES[name]}", multi_line)
-            loaded[name] = write_typed(text, name, f"{aside}/{name}").schema
+            text = read_csv(spark, table, f"{source_dir}/{RAW_FILES[table]}", multi_line)
+            loaded[table] = write_typed(text, table, f"{place}/{table}").schema
         except Exception as exc:  # every table gets its turn before the load gives up
-            failures[name] = str(exc)
+            failures[table] = str(exc)
 
+    published = False
     try:
         concurrently(spark, load, RAW_FILES)
         if failures:
-            if new:
-                remove(spark, around)
             raise LoadError(failures)
-        for name in RAW_FILES:
-            move(spark, f"{aside}/{name}", f"{out_dir}/{name}")
+        publish(spark, root, name)
+        published = True
     finally:
-        remove(spark, aside)
-    return {name: spark.read.schema(loaded[name]).parquet(f"{out_dir}/{name}") for name in RAW_FILES}
+        if not published and place not in current(spark, root):
+            remove(spark, new or place)
+    return {table: spark.read.schema(loaded[table]).parquet(f"{place}/{table}") for table in RAW_FILES}
+
+
+def read_loaded(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The tables of the last load into ``out_dir`` that was finished."""
+    found = current(spark, out_dir.rstrip("/"))
+    if not found:
+        raise FileNotFoundError(f"nothing was loaded into {out_dir}")
+    return {table: spark.read.parquet(f"{found[0]}/{table}") for table in RAW_FILES}

@@ -18,6 +18,9 @@ logger = logging.getLogger(__name__)
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# The file in a folder of versions that names the current one.
+POINTER = "_current"
+
 # Independent jobs submitted at a time, so that small ones use what a large one leaves idle.
 JOBS_AT_ONCE = 8
 
@@ -102,14 +105,46 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put the table at ``source`` in the place of what is at ``target``."""
-    files, place = _on_file_system(spark, source)
-    _, goal = _on_file_system(spark, target)
-    files.delete(goal, True)
-    files.mkdirs(goal.getParent())
-    if not files.rename(place, goal):
-        raise OSError(f"cannot move {source} to {target}")
+def current(spark: SparkSession, folder: str) -> list[str]:
+    """The folders that ``publish`` has made the current one of ``folder`` and the one before; empty if there is none."""
+    files, place = _on_file_system(spark, f"{folder}/{POINTER}")
+    if not files.exists(place):
+        return []
+    lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(files.open(place), "UTF-8"))
+    try:
+        return [f"{folder}/{name}" for name in iter(lines.readLine, None)]
+    finally:
+        lines.close()
+
+
+def publish(spark: SparkSession, folder: str, name: str) -> None:
+    """Make ``name``, a finished folder in ``folder``, the current one, by one rename.
+
+    Until then readers find the one before, whole; afterwards this one, whole.
+    The one before stays for readers that have begun with it, an older one goes.
+    """
+    before = [path.rpartition("/")[2] for path in current(spark, folder)]
+    aside = f"{folder}/{POINTER}-{uuid.uuid4().hex}"
+    files, place = _on_file_system(spark, aside)
+    out = files.create(place, True)
+    try:
+        out.write(bytearray("\n".join([name, *before[:1]]), "utf-8"))
+    finally:
+        out.close()
+    _replace(spark, aside, f"{folder}/{POINTER}")
+    for old in before[1:]:
+        remove(spark, f"{folder}/{old}")
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file over another one at once."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    place = hadoop.Path(source)
+    found = hadoop.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    found.rename(place, hadoop.Path(target), options)
 
 
 def version(spark: SparkSession, path: str) -> tuple:

@@ -92,6 +92,17 @@ def test_mode(spark, values, mode):
     assert found == [v if v is not None else mode for v in values]
 
 
+def test_values_are_only_counted_where_some_are_missing(spark):
+    df = spark.createDataFrame([("a", "x", None), ("b", "x", "z")], "c string, d string, e string")
+    whole = fill_mode(df, ["c", "d"])
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in whole._jdf.queryExecution().toString()
+    filled = fill_mode(df, ["c", "d", "e"])
+    assert [tuple(r) for r in filled.orderBy("c").collect()] == [("a", "x", "z"), ("b", "x", "z")]
+    assert "Subquery" in filled._jdf.queryExecution().toString()
+    assert fill_mode(df.limit(0), ["c", "e"]).collect() == []
+
+
 @pytest.mark.parametrize("values", [[1, 2, 3], [1, 2, 3, 10], [5], [7, 7, 7, 1], [None, 4, None, 2], [None], []])
 def test_median(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")

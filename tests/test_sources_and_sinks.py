@@ -5,6 +5,7 @@ The database sink is checked up to the writer's options: no database is started.
 
 import json
 import logging
+import re
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -17,12 +18,21 @@ from storesales.plans.clean import CLEANERS
 from storesales.plans.retail_job import export_saved, run_job
 from storesales.plans.warehouse import Warehouse, _written
 from storesales.queries import queries
-from storesales.sources import csv
-from storesales.sources.csv import LoadError, load_all, read_csv, settle_types
+from storesales.sources import csv, shared
+from storesales.sources.csv import LoadError, load_all, read_csv, read_loaded, settle_types
 from storesales.sources.schemas import RAW_FILES
 from storesales.sources.shared import checkpoint, concurrently, cut, new_path, scratch, shared_dir, version
 from storesales.sources.sizing import size_shuffles, stored_bytes
-from storesales.sources.sinks import export_all, jdbc_column_types, jdbc_options, parquet_sink, write_report
+from storesales.sources.sinks import (
+    export_all,
+    jdbc_column_types,
+    jdbc_options,
+    jdbc_replace,
+    parquet_sink,
+    staged,
+    swap_statements,
+    write_report,
+)
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -66,6 +76,43 @@ def test_all_failures_are_named_and_nothing_is_written(spark, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
+@pytest.mark.parametrize("crash", ["before", "after"])
+def test_a_load_that_dies_leaves_all_old_or_all_new_tables(spark, tmp_path, monkeypatch, crash):
+    source = put(tmp_path)
+    out = f"{source}/out"
+    with pytest.raises(FileNotFoundError, match="nothing was loaded"):
+        read_loaded(spark, out)
+    load_all(spark, source, out)
+    newer = {file: text + text.splitlines()[-1] + "\n" for file, text in FILES.items()}
+    put(tmp_path, **newer)
+    rename = shared._replace
+
+    def dies(*args):
+        if crash == "after":
+            rename(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(shared, "_replace", dies)
+    with pytest.raises(KeyboardInterrupt):
+        load_all(spark, source, out)
+    extra = 1 if crash == "after" else 0
+    rows = {"train": 2, "stores": 2, "transactions": 1, "oil": 2, "holidays": 1}
+    assert {name: df.count() for name, df in read_loaded(spark, out).items()} == {n: k + extra for n, k in rows.items()}
+    monkeypatch.setattr(shared, "_replace", rename)
+    loaded = load_all(spark, source, out)
+    assert {name: df.count() for name, df in loaded.items()} == {n: k + 1 for n, k in rows.items()}
+
+
+def test_old_loads_are_removed_but_the_last(spark, tmp_path):
+    source = put(tmp_path)
+    first = load_all(spark, source, f"{source}/out/raw")
+    for _ in range(2):
+        assert first["oil"].count() == 2  # still there for who has begun to read
+        second, first = first, load_all(spark, source, f"{source}/out/raw")
+    folders = sorted(p.name for p in (tmp_path / "out" / "raw").glob("load-*"))
+    assert len(folders) == 2 and second["oil"].count() == 2
+
+
 def test_columns_are_bound_by_name_and_extra_ones_pass(spark, tmp_path):
     source = put(tmp_path, **{"oil.csv": "dcoilwtico,note,n,date\n50.5,hello,7,2015-01-01\n"})
     df = load(spark, source, "oil")
@@ -117,6 +164,30 @@ def test_checkpoint_replaces_and_partitions(spark, tmp_path):
     assert cut(df, "x").count() == 4
 
 
+def test_a_table_is_replaced_from_its_staging_table_in_one_transaction(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20).repartition(4).write.parquet(path)
+    rows = staged(spark.read.parquet(path))
+    # The same numbers however often a task reads its part of the written table.
+    again = rows.unionByName(staged(spark.read.parquet(path)))
+    assert rows.select("__row").distinct().count() == 20 and again.distinct().count() == 20
+    statements = swap_statements("public.eda", "public.eda_ab", ["n", "mes"])
+    assert statements == [
+        'CREATE TABLE public.eda_ab_whole AS SELECT "n", "mes" FROM (SELECT DISTINCT * FROM public.eda_ab) AS loaded',
+        "DROP TABLE public.eda_ab",
+        "DROP TABLE IF EXISTS public.eda",
+        "ALTER TABLE public.eda_ab_whole RENAME TO eda",
+    ]
+
+
+def test_a_failed_database_load_drops_its_staging_table_only(spark):
+    ran = []
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc_replace(spark.range(1), "eda", "jdbc:nothing:x", run=ran.extend)
+    (statement,) = ran
+    assert re.fullmatch(r"DROP TABLE IF EXISTS eda_[0-9a-f]{12}", statement)
+
+
 def test_report_keeps_nulls(spark, tmp_path):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS INT) AS b, named_struct('c', array(1, 2)) AS d")
     write_report(df, str(tmp_path / "r"))
@@ -136,6 +207,8 @@ def test_database_types_and_options(spark):
     assert options == {
         "url": "jdbc:x", "dbtable": "t", "batchsize": 100_000, "numPartitions": 4, "createTableColumnTypes": "`id` BIGINT",
     }
+    staging = staged(spark.range(3))
+    assert jdbc_options(staging, "t", "jdbc:x", 4)["createTableColumnTypes"] == "`id` BIGINT, `__row` BIGINT"
     # Spark must be able to read the types it is given.
     assert len(T.StructType.fromDDL(jdbc_column_types(schema)).fields) == 10
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Row
 
 from storesales.llm import embedding_links as links_module
+from storesales.llm import jaccard_join
 from storesales.llm.components import components
 from storesales.llm.embedding_links import CoverTree, Traversal, embedding_links
 from storesales.llm.jaccard_join import jaccard_components
@@ -95,6 +96,73 @@ def test_a_large_group_is_joined_over_hubs(spark, words):
     assert got == brute_force(rows)
 
 
+@pytest.fixture
+def pairs_counted(monkeypatch):
+    """How many pairs of sets each round has counted."""
+    seen = []
+    links = jaccard_join._links
+
+    def counted(pairs, segments):
+        seen.append(pairs.count())
+        return links(pairs, segments)
+
+    monkeypatch.setattr(jaccard_join, "_links", counted)
+    return seen
+
+
+def test_variants_of_one_text_are_joined_by_it(spark, words, pairs_counted):
+    """Two variants share too little to link, each links to the text that they were made from."""
+    rng = random.Random(10)
+    base = [rng.choice(words) for _ in range(60)]
+    rows = [(i, " ".join(base)) for i in range(5000, 5020)]
+    for i in range(10_000):
+        copy = base.copy()
+        copy[rng.randrange(60)] = f"w{i}"
+        rows.append((i if i < 5000 else i + 20, " ".join(copy)))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = jaccard_components(table).groupBy("component_id").count().collect()
+    assert [tuple(r) for r in got] == [(0, 10_020)]
+    assert sum(pairs_counted) <= 1.2 * 10_001
+
+
+def test_a_template_that_links_nobody(spark, words):
+    rng = random.Random(11)
+    template = [rng.choice(words) for _ in range(75)]
+    rows = [(i, " ".join(template + [f"w{i}x{k}" for k in range(15)])) for i in range(150)]
+    rows += [(i + 1000, text + " y") for i, text in rows[:20]]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(table).collect()}
+    assert got == brute_force(rows)
+
+
+@pytest.mark.parametrize("changed", [{"id_bits": 4}, {"long_list": 2}])
+def test_shared_ids_and_long_lists_change_nothing(spark, words, changed):
+    rows = near_copies(words, 4)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = jaccard_join.jaccard_sets(table, **changed).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.comp if r.comp is not None else ("alone", r.doc_id), []).append(r.doc_id)
+    got = {i: (r.n, min(groups[r.comp if r.comp is not None else ("alone", i)])) for r in found for i in [r.doc_id]}
+    assert got == brute_force(rows)
+
+
+def test_fragments_hold_every_n_gram_once_and_overlaps_add_up():
+    rng = np.random.default_rng(3)
+    order = jaccard_join.Order(rng.integers(0, 40, 1 << 14).astype(np.uint8), 14)
+    pivots = order.pivots(8)
+    a, b = (np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)) for _ in range(2))
+    b = np.unique(np.concatenate([b, a[:200]]))
+    cut_ = [np.searchsorted(pivots, order.keys(x), side="right") for x in (a, b)]
+    assert len(set(cut_[0])) == 8
+    assert all((np.sort(order.keys(a[cut_[0] == f])) >= order.keys(a[cut_[0] == f - 1]).max()).all() for f in range(1, 8))
+    parts = [([a[cut_[0] == f].tobytes()], [b[cut_[1] == f].tobytes()]) for f in range(8)]
+    partial = [int(jaccard_join.shared_counts(x, y)[0]) for x, y in parts]
+    assert sum(partial) == len(np.intersect1d(a, b)) and max(partial) < sum(partial)
+    both = jaccard_join.shared_counts([a.tobytes(), b"", b.tobytes()], [b.tobytes(), b.tobytes(), b.tobytes()])
+    assert both.tolist() == [sum(partial), 0, len(b)]
+
+
 def test_ids_that_repeat_with_other_texts(spark, words):
     a, b = (" ".join(words[i : i + 60]) for i in (0, 100))
     rows = [(1, a), (1, b), (1, a), (2, a + " x"), (3, b + " y"), (4, b + " y z")]

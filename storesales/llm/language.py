@@ -24,6 +24,9 @@ PENALTY = 3.0
 
 STEPS = 12
 
+# Neighbouring trigrams share letters: so many are one draw.
+OVERLAP = 3
+
 # Numbers in one array of an EM step.
 BLOCK = 4 << 20
 
@@ -165,25 +168,35 @@ def mixture(model: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]]) -> np
     return result
 
 
-def outside(
+def against_chance(
     model: np.ndarray, learned: np.ndarray, at_random: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]], shares: np.ndarray
-) -> np.ndarray:
-    """The share of each text that none of its languages explains.
-
-    EM over three sources: the text's ``mixture``, letters at random, and
-    trigrams at random. Letters at random are smoothed like the languages, as if
-    learned from as many trigrams (``learned``), so a language of few texts is
-    not beaten for being sparse. How many languages there are does not matter.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text, the share that none of its languages explains, and the mean and standard error of their gain over chance.
+
+    The share is by EM over three sources: the text's ``mixture``, letters at
+    random, and trigrams at random. The gain is the log of a trigram's
+    likelihood in the mixture over that in the two others with even shares; its
+    error is from how it varies within the text, with ``OVERLAP`` trigrams
+    counted as one draw. Letters at random are smoothed like the languages, as
+    if learned from as many trigrams (``learned``), so a language of few texts
+    is not beaten for being sparse. How many languages there are does not matter.
     """
     slots = np.concatenate([s for s, _ in grams])
     counts = np.concatenate([c for _, c in grams]).astype(np.float64)
     sizes = np.array([len(s) for s, _ in grams])
+    starts = np.cumsum(sizes) - sizes
     spoken = (model[slots] * np.repeat(shares, sizes, axis=0)).sum(axis=1)
     whole = learned + SMOOTHING * SLOTS
     drawn = np.repeat(shares @ (learned / whole), sizes) * at_random[slots] + np.repeat(shares @ (SMOOTHING / whole), sizes)
     likely = np.column_stack([spoken, drawn, np.full(len(slots), 1.0 / SLOTS)])
-    found, _ = _em(likely, counts, np.cumsum(sizes) - sizes, np.full((len(grams), 3), 1.0 / 3), STEPS)
-    return 1.0 - found[:, 0]
+    found, _ = _em(likely, counts, starts, np.full((len(grams), 3), 1.0 / 3), STEPS)
+    gains = np.log(spoken) - np.log((likely[:, 1] + likely[:, 2]) / 2)
+    totals = np.add.reduceat(counts, starts)
+    mean = np.add.reduceat(counts * gains, starts) / totals
+    spread = np.add.reduceat(counts * (gains - np.repeat(mean, sizes)) ** 2, starts) / totals
+    # Of a draw or two the spread says nothing; then it is taken to be as large as the gain.
+    spread = np.where(totals <= OVERLAP, np.maximum(spread, mean**2), spread)
+    return 1.0 - found[:, 0], mean, np.sqrt(spread * OVERLAP / totals)
 
 
 def identify(
@@ -210,9 +223,10 @@ def identify(
     table gives an empty result. Other columns are only read with ``carry``,
     which returns every document whole in a struct ``row``.
 
-    ``background`` adds the number of a text's ``trigrams`` and the share
-    ``outside`` of it that is rather letters at random than its languages; 0
-    where there is no trigram or nothing to learn from.
+    ``background`` adds the number of a text's ``trigrams``, the share
+    ``outside`` of it that is rather letters at random than its languages, and
+    the mean ``gain`` of these over chance with its standard ``error``; 0 where
+    there is no trigram or nothing to learn from.
     """
     fold = F.coalesce(id_crc32(F.col(id_col)) % folds, F.lit(-1))
     labelled = docs.where(F.col(lang_col).isNotNull() & (fold != held_out))
@@ -223,7 +237,7 @@ def identify(
     texts = texts_of(docs, id_col, text_col, carry)
     schema = f"doc_id {type_of(texts, 'doc_id')}, lang_pred string, score double, langs array<string>, shares array<double>"
     if background:
-        schema += ", trigrams long, outside double"
+        schema += ", trigrams long, outside double, gain double, error double"
     if carry:
         schema += f", row {type_of(texts, 'row')}"
 
@@ -232,7 +246,7 @@ def identify(
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             found: list[np.ndarray | None] = [None] * len(texts)
-            sizes, beyond = [0] * len(texts), [0.0] * len(texts)
+            sizes, beyond = [0] * len(texts), np.zeros((3, len(texts)))
             block: list[tuple[int, tuple]] = []
 
             def flush(block=block, found=found, beyond=beyond):
@@ -240,9 +254,11 @@ def identify(
                     return
                 grams = [g for _, g in block]
                 shares = mixture(model, grams)
-                rest = outside(model, learned, at_random, grams, shares) if background else np.zeros(len(grams))
-                for (i, _), row, r in zip(block, shares, rest, strict=True):
-                    found[i], beyond[i] = row, float(r)
+                places = [i for i, _ in block]
+                for i, row in zip(places, shares, strict=True):
+                    found[i] = row
+                if background:
+                    beyond[:, places] = against_chance(model, learned, at_random, grams, shares)
                 block.clear()
 
             held = 0
@@ -263,8 +279,8 @@ def identify(
             sets = [[] if s is None else [j for j in np.argsort(-s, kind="stable") if s[j] > 0] for s in found]
             more, more_names = carried(batch)
             if background:
-                more = [pa.array(sizes, pa.int64()), pa.array(beyond, pa.float64()), *more]
-                more_names = ["trigrams", "outside", *more_names]
+                more = [pa.array(sizes, pa.int64()), *map(pa.array, beyond), *more]
+                more_names = ["trigrams", "outside", "gain", "error", *more_names]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

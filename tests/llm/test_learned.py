@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from by_hand import by_hand
 from storesales.llm.language import identify, mixture, trigrams
 from storesales.llm.quality import _sample, forward_backward, lines_of, score_quality, with_neighbours
 
@@ -86,6 +87,23 @@ def test_language_of_held_out_documents(spark):
     assert found.score.between(0, 1).all()
 
 
+def test_languages_by_hand(spark, docs, tricky):
+    """The whole operator, trigram by trigram, on texts of one language, mixed ones and odd ones."""
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(DATA.replace("0.01", "0.001") + "/documents.parquet").collect()]
+    first = {lang: [t for _, t, x in rows if x == lang][:4] for lang in ("en", "fr", "de")}
+    mixed = [" ".join(w for lang in langs for w in first[lang][k].split()[:25]) for k in range(4) for langs in (("en", "fr"), ("fr", "de"), ("de", "en", "fr"))]
+    odd = [t for i, t in tricky if i is None or i < 209 or i > 209]
+    more = [(10_000 + k, t, None) for k, t in enumerate(mixed + odd)]
+    table = spark.createDataFrame(rows + more, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in identify(table, background=True).collect() if r.doc_id >= 10_000 or r.doc_id % 5 == 0}
+    wanted = by_hand(rows, [(i, t, None) for i, t, _ in rows + more if i in found])
+    assert sum(len(w.langs) > 1 for w in wanted.values()) >= 6
+    for i, w in wanted.items():
+        r = found[i]
+        assert (r.held_out, r.lang_pred, r.langs) == (w.held_out, w.lang, w.langs), i
+        assert [r.score, *r.shares, r.gain, r.error] == pytest.approx([w.score, *w.shares, w.gain, w.error], abs=1e-6), i
+
+
 def test_mixed_texts_have_their_languages(spark):
     english = "the house and the garden are where they were when the summer went over the hill with them"
     german = "der garten und das haus sind noch immer dort wo sie im sommer waren als wir zu ihnen gingen"

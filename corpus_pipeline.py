@@ -19,11 +19,8 @@ from storesales.llm.quality import score_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-# A text of which its languages together, set against letters at random, make up less than this share goes.
-LEAST_SHARE = 0.5
-
-# Texts of fewer trigrams, where one key or code can outweigh a sentence, are too short to be judged, and stay.
-FEWEST_TRIGRAMS = 100
+# A text goes if its languages explain it worse than chance by more than so many standard errors: few trigrams say little.
+CERTAIN = 1.0
 
 
 def _keep(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
@@ -45,12 +42,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those that are of no language for the most part go, but short ones stay.
+    """Documents with a language; those go that rather come from chance than from the languages found in them.
 
-    Texts without a letter go, and all where there is nothing to learn from.
+    That is a likelihood ratio, set against its own standard error, so a short
+    text goes only if it is the less like a language. Texts without a letter go,
+    and all where there is nothing to learn from.
     """
     judged = identify(docs.select(*COLUMNS), carry=True, background=True)
-    spoken = (F.col("trigrams") < FEWEST_TRIGRAMS) | (1 - F.col("outside") >= LEAST_SHARE)
+    spoken = F.col("gain") + CERTAIN * F.col("error") >= 0
     return judged.where((F.col("lang_pred") != UNKNOWN) & spoken).select("row.*")
 
 

@@ -23,6 +23,9 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
     rows. Equal prefixes fold in the map tasks before they are shuffled, so a
     first turn that a third of the conversations share costs no more than others.
 
+    Markers written out in a role or a text are taken apart, and line breaks in
+    a role are blanks, so that neither passes for a turn.
+
     NULL role is ``unknown``, NULL text is empty; both compare equal to those
     values. Repeated rows are turns of their own. A NULL id is one conversation.
     An empty table gives an empty result; further columns are ignored.
@@ -50,8 +53,9 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
     proper = prefixes.where("NOT whole").select(key).distinct()
     whole = prefixes.where("whole").groupBy(key).agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
     kept = whole.join(proper, key, "left_anti").select("conv_id", "n_copies")
-    plain = F.regexp_replace("text", r"<\|im_(start|end)\|>", "< |im_$1|>")
-    line = F.concat(F.lit(START), "role", F.lit("\n"), plain, F.lit(END + "\n"))
+    role, text = (F.regexp_replace(c, r"<\|im_(start|end)\|>", "< |im_$1|>") for c in ("role", "text"))
+    # A role is one line: what follows a line break would pass for text.
+    line = F.concat(F.lit(START), F.regexp_replace(role, r"[\r\n]+", " "), F.lit("\n"), text, F.lit(END + "\n"))
     lines = position.select(F.col("conv_id").alias("id"), "k", line.alias("line"))
     return (
         lines.join(kept, F.col("id").eqNullSafe(F.col("conv_id")))

@@ -56,6 +56,9 @@ _ROLES = {
 
 _WHOLE = {"content", "article", "body", "main", "wrapper", "container", "page"}
 
+# Less than this share of a text's characters in links.
+FEW_LINKS = 0.25
+
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -224,8 +227,11 @@ def main_text(html: str) -> str:
     Every paragraph gives its points to the element around it, half of them to
     the next one out and a third to the one after. The element with the most
     points, discounted by the share of its text that is links, is the container;
-    an <article> or <main> around it takes its place. Siblings with a fifth of
-    its points, or long paragraphs with few links, are kept with it.
+    an <article> or <main> around it takes its place. Else the outermost element
+    with the same text does, and siblings with a fifth of its points, or long
+    paragraphs with few links, are kept with it, and so are all headings, leads
+    and sections with few links, however short, that follow each other up to
+    one of these.
     """
     page = Page(html)
     size = len(page.tags)
@@ -249,14 +255,26 @@ def main_text(html: str) -> str:
         around = page.parents[around]
     keep = [False] * size
     keep[around or best] = True
+    beside = -1
     if not around and best:
-        for node in range(1, size):
-            if page.parents[node] == page.parents[best] and chars[node]:
-                paragraph = page.tags[node] in _LEAVES and chars[node] > 80 and linked[node] < 0.25 * chars[node]
-                keep[node] = keep[node] or paragraph or net[node] >= 0.2 * net[best]
+        while page.parents[best] > 0 and chars[page.parents[best]] == chars[best]:
+            best = page.parents[best]
+        beside = page.parents[best]
+        siblings = [node for node in range(1, size) if page.parents[node] == beside and chars[node]]
+        few_links = [linked[node] < FEW_LINKS * chars[node] for node in siblings]
+        strong = [
+            node == best or net[node] >= 0.2 * net[best] or few and page.tags[node] in _LEAVES and chars[node] > 80
+            for node, few in zip(siblings, few_links, strict=True)
+        ]
+        for order in (1, -1):
+            near = False
+            for node, few, own in list(zip(siblings, few_links, strong, strict=True))[::order]:
+                near = own or near and few
+                keep[node] = keep[node] or near
     for node in range(1, size):
         keep[node] = keep[node] or keep[page.parents[node]]
-    return "\n".join(text for node, text, _ in page.blocks if keep[node])
+    # Text that stands directly beside the container belongs to it, too.
+    return "\n".join(text for node, text, links in page.blocks if keep[node] or node == beside and links < FEW_LINKS * len(text))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -131,7 +131,8 @@ WITH lines AS (
     GROUP BY turns
 )
 SELECT conv_id, CAST(len(turns) AS BIGINT) AS n_turns, n_copies,
-       list_aggregate(list_transform(turns, lambda t: '{START}' || t.role || chr(10)
+       list_aggregate(list_transform(turns, lambda t: '{START}'
+           || regexp_replace(regexp_replace(t.role, '<\\|im_(start|end)\\|>', '< |im_\\1|>', 'g'), '[\\r\\n]+', ' ', 'g') || chr(10)
            || regexp_replace(t.text, '<\\|im_(start|end)\\|>', '< |im_\\1|>', 'g') || '{END}' || chr(10)),
            'string_agg', '') AS text
 FROM kept

@@ -59,6 +59,21 @@ def test_siblings_of_the_best_container_are_kept():
     assert main_text(page) == "\n".join([BODY.strip()] * 4)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div><h1>Title</h1><div class='body'><p>{0}</p><p>{0}</p></div></div>", "Title\n{0}\n{0}"),
+        ("<div><h1>T</h1><p>A lead.</p><div><div><p>{0}</p></div></div></div>", "T\nA lead.\n{0}"),
+        ("<h1>T</h1><div><p>{0}</p><p>{0}</p></div><div><h2>Next</h2><p>Short section.</p></div>", "T\n{0}\n{0}\nNext\nShort section."),
+        ("<div>Bare words.<div><p>{0}</p><p>{0}</p></div>The end.</div>", "Bare words.\n{0}\n{0}\nThe end."),
+        ("<div><p><a href=x>Home, news, all</a></p><h2>T</h2><div><p>{0}</p><p>{0}</p></div><p>End.</p><p><a href=x>More</a></p><p>Imprint</p></div>", "T\n{0}\n{0}\nEnd."),
+        ("<div><h2>T</h2><div class=ad><p>Buy, buy</p></div><div><p>{0}</p><p>{0}</p></div></div>", "T\n{0}\n{0}"),
+    ],
+)
+def test_short_neighbours_of_the_container_are_kept_up_to_links(page, text):
+    assert main_text(page.format(BODY)) == text.format(BODY.strip())
+
+
 def test_time_grows_with_length_only():
     for page in ("<a '" * 50_000, "<" * 100_000, "<p>" * 50_000, "<div>" * 50_000, "<b>" * 50_000 + "x", '<a b="' * 50_000):
         main_text(page)

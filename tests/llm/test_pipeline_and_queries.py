@@ -119,10 +119,11 @@ def test_texts_of_no_language_go_however_many_languages_there_are(spark):
     planted = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in (go | stay | short).items()], table.schema)
     more = spark.createDataFrame([(1_000_000 + i, t * 99, n, "s", 9) for i, (n, t) in enumerate(
         [("l1", "abra cadabra "), ("l2", "hokus pokus "), ("l3", "fidi bus ")])], table.schema)
-    for docs in (table, table.unionByName(more)):
+    # A language of few texts is near to chance itself.
+    for docs, most in ((table, 10), (table.unionByName(more), 20)):
         kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(planted), DATA).collect()}
         assert kept - set(short) == {r.doc_id for r in docs.collect()} | set(stay)
-        assert len(kept & set(short)) <= 10
+        assert len(kept & set(short)) <= most
 
 
 def test_copies_go_row_by_row_whatever_their_ids(spark):

@@ -1,55 +1,97 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-The vocabulary is one of byte-pair merges. A segmentation into its pieces is
-the one that merging gives exactly if every two neighbouring pieces are what
-merging makes of the two together. So the transducer's states are the pieces:
-an arc costs one, and infinity where it would follow a piece it cannot stand
-beside. The shortest path in the tropical semiring is then the encoding.
+Three transducers are compiled from a model: its normaliser (a blank becomes the
+sign for blanks, one is put in front), its pieces (a trie whose ends give ids,
+at the cost of the piece's score with the sign turned) and the byte fallback (a
+character of no piece gives the ids of its bytes). They are composed with each
+input as it is read, and the shortest path in the tropical semiring, where costs
+along a path are added and the least one wins, is the encoding.
+
+For a unigram model that is all. In a vocabulary of byte-pair merges the encoding
+is not the segmentation of the best scores but the one that merging gives: each
+two neighbouring pieces must be what merging makes of the two together. There
+the states of the composition also hold the last piece, and an arc costs infinity
+behind a piece that it cannot follow.
 """
 
 from __future__ import annotations
 
 import math
-import re
-import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storesales.llm.common import slices, texts_of, type_of
+from storesales.llm.pretokens import PretokenCache
+from storesales.llm.spans import bytes_of, strings_of
 
 #: Fixed value: the character that stands for a blank inside pieces.
 BLANK = "▁"
 
 IDS = np.dtype("<u4")
 
-# Segments and pairs of pieces whose result a worker remembers.
-SEGMENTS, PAIRS = 400_000, 300_000
-
-# Longer segments are composed without being remembered.
-LONGEST_KEPT = 64
-
-# No piece has a blank after another character, so paths meet there.
-_SEGMENT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+# Pairs of pieces that a worker remembers.
+PAIRS = 300_000
 
 _START = -1
 
 _transducers: dict[str, Transducer] = {}
 
 
+def fields(message: bytes) -> dict[int, list]:
+    """The fields of a serialised protocol buffer: numbers as they are, the rest as bytes."""
+    found: dict[int, list] = {}
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 0x7F) << shift
+            shift += 7
+            if byte < 0x80:
+                return value
+
+    while at < len(message):
+        number, kind = divmod(varint(), 8)
+        if kind == 0:
+            value = varint()
+        else:
+            size = varint() if kind == 2 else {1: 8, 5: 4}[kind]
+            value, at = message[at : at + size], at + size
+        found.setdefault(number, []).append(value)
+    return found
+
+
 class Transducer:
     """The normaliser, the pieces and the byte fallback of one model, ready to be composed with texts."""
 
+    #: Numbers of fields in a serialised model, and kinds of models.
+    TRAINER, NORMALISER, KIND, CHARACTER_MAP, PREFIX, EXTRA_BLANKS, BLANK_SIGN = 2, 3, 3, 2, 3, 4, 5
+    UNIGRAM, MERGES = 1, 2
+
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
-        probe = "a  \tB "
-        if model.normalize(probe) != self.normalised(probe):
-            raise ValueError(f"{path}: only blanks may be normalised, with one put in front")
+        described = fields(model.serialized_model_proto())
+        rules = fields(described.get(self.NORMALISER, [b""])[-1])
+        # Only blanks are normalised here: a map of characters would be lost.
+        if rules.get(self.CHARACTER_MAP, [b""])[-1]:
+            raise ValueError(f"{path}: it normalises characters by a compiled map")
+        if rules.get(self.EXTRA_BLANKS, [1])[-1] or not rules.get(self.BLANK_SIGN, [1])[-1]:
+            raise ValueError(f"{path}: blanks must be kept, and written by their sign")
+        self.prefix = BLANK if rules.get(self.PREFIX, [1])[-1] else ""
+        self.kind = fields(described.get(self.TRAINER, [b""])[-1]).get(self.KIND, [self.UNIGRAM])[-1]
+        if self.kind not in (self.UNIGRAM, self.MERGES):
+            raise ValueError(f"{path}: only unigram models and those of merges are known")
         self.pieces = [model.id_to_piece(i) for i in range(model.vocab_size())]
         self.bytes_from = {bytes([int(p[3:5], 16)]): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
         if len(self.bytes_from) != 256:
@@ -59,6 +101,9 @@ class Transducer:
         self.scores = [model.get_score(i) for i in range(len(self.pieces))]
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError(f"{path}: a piece has a blank inside")
+        #: What an arc costs; a character of no piece costs more than any way through pieces saves.
+        self.costs = [-x for x in self.scores]
+        self.unknown = max((self.costs[i] for i in self.ids.values()), default=0.0) + 10.0
         self._odd: set[int] = set()
         # Every beginning of a piece: the piece's id where it is a whole one, else -1.
         self.prefixes = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
@@ -68,9 +113,12 @@ class Transducer:
             byte_of[i] if i in byte_of else b"" if i in special else p.replace(BLANK, " ").encode()
             for i, p in enumerate(self.pieces)
         ]
-        self._halves = {i: self._last_merge(i) for i in self.ids.values()}
+        merges = self.kind == self.MERGES
+        self._halves = {i: self._last_merge(i) for i in self.ids.values()} if merges else {}
         self._pairs: dict[int, bool] = {}
-        self._segments = _Segments(self)
+        self.segments = PretokenCache(
+            lambda words: map(self.path if merges else self.free_path, map(self.normalised, words)), lambda ids: array("I", ids).tobytes()
+        )
 
     @staticmethod
     def of(path: str) -> Transducer:
@@ -80,7 +128,7 @@ class Transducer:
 
     @staticmethod
     def normalised(text: str) -> str:
-        return (BLANK + text).replace(" ", BLANK) if text else ""
+        return text.replace(" ", BLANK)
 
     def merged(self, text: str, stop: int = 1) -> list[str]:
         """The pieces that merging gives: always the best pair, of equal ones the first; or the last ``stop`` before."""
@@ -160,75 +208,134 @@ class Transducer:
         score = self.scores[joined]
         return score > taken and score >= taken_too
 
-    def _path(self, text: str) -> list[int]:
-        """Shortest path of the composition with one segment.
-
-        Only one path has a finite cost, so the first that reaches the end is
-        the shortest. Longer arcs are tried first, and a state (place, last
-        piece) that leads nowhere is never entered again, so the search takes no
-        more steps than the composition has arcs. A character without a piece
-        has the pieces of its bytes, which nothing merges with.
+    def _arcs(self, text: str, place: int) -> list[tuple[int, int, float]]:
+        """Arcs from a place of a segment, as id, end and cost: pieces that begin there, and the bytes of a character that is none."""
+        arcs, find = [], self.prefixes.get
+        for end in range(place + 1, len(text) + 1):
+            piece = find(text[place:end])
+            if piece is None:
+                break
+            if piece >= 0:
+                arcs.append((piece, end, self.costs[piece]))
+        if not arcs or arcs[0][1] > place + 1:
+            arcs.append((_START, place + 1, self.unknown))
+        return arcs
+
+    def free_path(self, text: str) -> list[int]:
+        """Shortest path where a piece may follow any other: states are places."""
+        costs: list[float] = [0.0] + [math.inf] * len(text)
+        back: list[tuple[int, int]] = [(0, _START)] * (len(text) + 1)
+        for place in range(len(text)):
+            for piece, end, more in self._arcs(text, place):
+                if costs[place] + more < costs[end]:
+                    costs[end], back[end] = costs[place] + more, (place, piece)
+        path, place = [], len(text)
+        while place:
+            start, piece = back[place]
+            path.append((start, piece))
+            place = start
+        return self._output(text, path[::-1])
+
+    def path(self, text: str) -> list[int]:
+        """Shortest path where a piece may only follow some: states are places with the last piece.
+
+        Costs are relaxed place by place, as no arc leads back. A path that
+        comes behind a piece that it cannot follow costs infinity and is not
+        kept. A character without a piece has the pieces of its bytes, which
+        nothing merges with.
         """
-        n = len(text)
-        beside, find = self._beside, self.prefixes.get
-        dead: set[tuple[int, int]] = set()
-        place, last = 0, _START
-        way: list[tuple[int, int, list[tuple[int, int]]]] = []  # place, piece before it, arcs still to try
-        left: list[tuple[int, int]] | None = None
-        while place < n:
-            if left is None:
-                left = []
-                for end in range(place + 1, n + 1):
-                    piece = find(text[place:end])
-                    if piece is None:
-                        break
-                    if piece >= 0:
-                        left.append((piece, end))
-                if not left:
-                    left.append((_START, place + 1))
-            while left:
-                piece, end = left.pop()
-                if (piece < 0 or last < 0 or beside(last, piece)) and (not dead or (end, piece) not in dead):
-                    way.append((place, last, left))
-                    place, last, left = end, piece, None
-                    break
-            else:
-                dead.add((place, last))
-                place, last, left = way.pop()
-        path: list[int] = []
-        for (start, _, _), (_, piece, _) in zip(way, [*way[1:], (n, last, [])], strict=True):
+        beside = self._beside
+        states: list[dict[int, tuple[float, int, int]]] = [{} for _ in range(len(text) + 1)]
+        states[0][_START] = (0.0, 0, _START)
+        for place in range(len(text)):
+            here = states[place]
+            if not here:
+                continue
+            for piece, end, more in self._arcs(text, place):
+                there = states[end]
+                for last, (cost, _, _) in here.items():
+                    if (piece < 0 or last < 0 or beside(last, piece)) and (piece not in there or cost + more < there[piece][0]):
+                        there[piece] = (cost + more, place, last)
+        path, place = [], len(text)
+        piece = min(states[place], key=lambda p: states[place][p][0])
+        while place:
+            _, start, last = states[place][piece]
+            path.append((start, piece))
+            place, piece = start, last
+        return self._output(text, path[::-1])
+
+    def _output(self, text: str, path: list[tuple[int, int]]) -> list[int]:
+        ids: list[int] = []
+        for start, piece in path:
             if piece == _START:
-                path.extend(self.bytes_from[bytes([b])] for b in text[start].encode("utf-8", "surrogatepass"))
+                ids.extend(self.bytes_from[bytes([b])] for b in text[start].encode("utf-8", "surrogatepass"))
             else:
-                path.append(piece)
-        return path
+                ids.append(piece)
+        return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian 32-bit numbers."""
-        segments = _SEGMENT.findall(self.normalised(text))
-        return b"".join(map(self._segments.__getitem__, segments))
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of whole texts as little-endian 32-bit numbers.
+
+        The composition is cut where all paths meet, before each run of blanks
+        behind something else; distinct segments are looked up, and their ids
+        put together by the segments' numbers.
+        """
+        plain = texts.cast(pa.large_string())
+        if self.prefix:
+            # Inside a segment a blank and its sign are one; in front of a text there is one more.
+            one, none = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+            plain = pc.if_else(pc.equal(pc.binary_length(plain), 0), plain, pc.binary_join_element_wise(one, plain, none))
+        data, offsets = bytes_of(plain)
+        blank = data == 0x20
+        # The sign written out in a text is a blank, too.
+        signs = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)) if len(data) > 2 else np.empty(0, np.int64)
+        ends = blank.copy()
+        blank[signs] = ends[signs + 2] = True
+        cuts = np.zeros(len(data), bool)
+        cuts[offsets[:-1][offsets[:-1] < len(data)]] = True
+        cuts[1:] |= blank[1:] & ~ends[:-1]
+        places = np.flatnonzero(cuts)
+        coded = strings_of(data, np.append(places, len(data))).dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        held = self.segments.values_of(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(held), IDS)
+        lengths = np.array([len(h) // IDS.itemsize for h in held], np.int64)
+        firsts = np.cumsum(lengths) - lengths
+        parts = lengths[codes]
+        before = np.concatenate([[0], np.cumsum(parts)])
+        flat = ids[np.repeat(firsts[codes] - before[:-1], parts) + np.arange(before[-1])]
+        bounds = before[np.searchsorted(places, offsets)] * IDS.itemsize
+        buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), buffers).cast(pa.binary())
 
     def decode(self, ids: bytes) -> str:
         """Text of some ids; bytes that are no UTF-8 become U+FFFD, control pieces nothing."""
         raw = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, IDS).tolist()))
-        return raw.decode("utf-8", "replace").removeprefix(" ")
-
-
-class _Segments(dict):
-    """Segment -> its ids, found on first use; starts anew when it is full."""
-
-    def __init__(self, transducer: Transducer):
-        super().__init__()
-        self.transducer = transducer
-
-    def __missing__(self, segment: str) -> bytes:
-        path = self.transducer._path(segment)
-        ids = struct.pack(f"<{len(path)}I", *path)
-        if len(segment) <= LONGEST_KEPT:
-            if len(self) >= SEGMENTS:
-                self.clear()
-            self[segment] = ids
-        return ids
+        return raw.decode("utf-8", "replace").removeprefix(" " if self.prefix else "")
+
+    def decode_all(self, ids: pa.Array) -> pa.Array:
+        """The same for many at once."""
+        raw, offsets = bytes_of(ids)
+        numbers, offsets = np.frombuffer(raw.tobytes(), IDS), offsets // IDS.itemsize
+        lengths = np.array([len(r) for r in self.raw], np.int64)
+        firsts = np.cumsum(lengths) - lengths
+        parts = lengths[numbers]
+        before = np.concatenate([[0], np.cumsum(parts)])
+        table = np.frombuffer(b"".join(self.raw), np.uint8)
+        flat = table[np.repeat(firsts[numbers] - before[:-1], parts) + np.arange(before[-1])]
+        bounds = before[offsets]
+        if self.prefix:
+            starts = bounds[:-1][bounds[:-1] < bounds[1:]]
+            dropped = np.zeros(len(flat) + 1, bool)
+            dropped[starts[flat[starts] == 0x20]] = True
+            bounds = bounds - np.concatenate([[0], np.cumsum(dropped)])[bounds]
+            flat = flat[~dropped[:-1]]
+        found = strings_of(flat, bounds)
+        try:
+            found.validate(full=True)
+        except pa.ArrowInvalid:
+            return pa.array([self.decode(i) for i in ids.to_pylist()], pa.string())
+        return found.cast(pa.string())
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,7 +344,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     NULL and empty texts have no ids. Every row gives a row, repeated rows and
     NULL ids too; an empty table gives an empty result; other columns are not
     read. A text is cut where no piece reaches across, segments seen before are
-    looked up in a bounded cache of the worker, and nothing is shuffled.
+    looked up in a bounded cache of the worker, and nothing is shuffled. Models
+    that normalise by a map of characters are refused.
     """
     texts = texts_of(docs, id_col, text_col)
     kind = type_of(texts, "doc_id")
@@ -245,8 +353,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer.of(path)
         for batch in slices(batches):
-            ids = [transducer.encode(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), transducer.encode(batch.column("text"))], ["doc_id", "ids"])
 
     return texts.mapInArrow(run, f"doc_id {kind}, ids binary")
 
@@ -259,7 +366,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer.of(path)
         for batch in slices(batches, "ids"):
-            texts = [transducer.decode(i) for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            texts = transducer.decode_all(batch.column("ids"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], ["doc_id", "ids", "text"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary, text string")

@@ -249,6 +249,9 @@ class Traversal:
 
 def _unit(packed: list | np.ndarray) -> np.ndarray:
     points = np.array(packed, np.float64)
+    largest = np.abs(points).max(axis=1, keepdims=True)
+    # Squares of such components are no doubles any more.
+    points = np.where((largest > 1e150) | (largest < 1e-150), points / largest, points)
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 

@@ -277,3 +277,9 @@ def test_slack_covers_rounding_of_small_distances():
         b /= np.linalg.norm(b, axis=1)[:, None]
         near = np.array([links_module._distances(x[None], y[None])[0, 0] for x, y in zip(a, b, strict=True)])
         assert np.abs(near - np.linalg.norm(a - b, axis=1)).max() < links_module.SLACK
+
+
+def test_very_large_and_very_small_components_link(spark):
+    rows = [(0, [1e200, 2e200]), (1, [3e-200, 6e-200]), (2, [1.0, 2.0]), (3, [-1e200, 2e200]), (4, [5e-324, 0.0]), (5, [1e308, 1e-300])]
+    found = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [(0, 2, 0), (1, 2, 0), (2, 2, 0), (3, 0, 3), (4, 1, 4), (5, 1, 4)]

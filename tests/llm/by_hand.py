@@ -92,3 +92,54 @@ def by_hand(learned, judged):
         chosen = sorted((k for k in range(len(names)) if shares[k] > 0), key=lambda k: (-shares[k], k))
         out[i] = Judged(held, names[chosen[0]], shares[chosen[0]], [names[k] for k in chosen], [shares[k] for k in chosen], mean, math.sqrt(spread * OVERLAP / n))
     return out
+
+
+def line_features(text):
+    """Length and features of every line with words, word by word."""
+    classes = [set(range(65, 91)), set(range(48, 58)), set(b"#$%&*<>{}[]=+@^~\\/_"), set(b"|"), set(b"!"), set(b".,;:?'\"()-")]
+    lines = [(len(raw), raw, raw.split()) for raw in (text or "").encode().split(b"\n")]
+    lines = [x for x in lines if x[2]]
+    every = [w for _, _, words in lines for w in words]
+    runs, seen_runs, seen_lines, out, at = [], set(), set(), [], 0
+    for i in range(len(every)):
+        run = tuple(every[i : i + 3])
+        runs.append(float(len(run) == 3 and run in seen_runs))
+        seen_runs.add(run)
+    for k, (size, raw, words) in enumerate(lines):
+        n = len(words)
+        shares = [sum(b in c for b in raw) / size for c in classes]
+        stutter = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
+        again = float(tuple(words) in seen_lines)
+        seen_lines.add(tuple(words))
+        out.append((size, [
+            math.log1p(n), math.log1p(size / n), *shares, *(math.sqrt(shares[c]) for c in (0, 2, 3, 4)),
+            1 - sum(len(w) == 1 for w in words) / n, stutter, math.sqrt(stutter), sum(runs[at : at + n]) / n,
+            again + 0.5 * (k == 0) + 0.25 * (k == len(lines) - 1),
+        ]))
+        at += n
+    return out
+
+
+def quality(model, text):
+    """The score of a text, and how many of its lines are good, from a trained field."""
+    lines = line_features(text)
+    if not lines:
+        return 0.0, 0, 0
+    nothing = [0.0] * len(lines[0][1])
+    own = [f for _, f in lines]
+    logits = []
+    for here, before, after in zip(own, [nothing, *own], [*own[1:], nothing], strict=False):
+        x = [(v - m) / s for v, m, s in zip([*here, *before, *after], model.mean, model.spread, strict=True)]
+        logits.append(sum(v * w for v, w in zip([*x, 1.0], model.weights, strict=True)))
+    local = [(1 - 1 / (1 + math.exp(-z)), 1 / (1 + math.exp(-z))) for z in (max(-30, min(30, z)) for z in logits)]
+    move = [[math.exp(model.steps[a][b]) for b in (0, 1)] for a in (0, 1)]
+    scaled = lambda v: [x / sum(v) for x in v]
+    ahead = [scaled(local[0])]
+    for one in local[1:]:
+        ahead.append(scaled([sum(ahead[-1][a] * move[a][b] for a in (0, 1)) * one[b] for b in (0, 1)]))
+    back = [[1.0, 1.0]]
+    for one in local[:0:-1]:
+        back.append(scaled([sum(move[a][b] * one[b] * back[-1][b] for b in (0, 1)) for a in (0, 1)]))
+    good = [scaled([f[k] * b[k] for k in (0, 1)])[1] for f, b in zip(ahead, back[::-1], strict=True)]
+    sizes = [s for s, _ in lines]
+    return sum(g * s for g, s in zip(good, sizes, strict=True)) / sum(sizes), len(lines), sum(g >= 0.5 for g in good)

@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from by_hand import by_hand
+from by_hand import by_hand, quality
 from storesales.llm.language import identify, mixture, trigrams
-from storesales.llm.quality import _sample, forward_backward, lines_of, score_quality, with_neighbours
+from storesales.llm.quality import _sample, forward_backward, lines_of, score_quality, train, with_neighbours
 
 DATA = "/root/testdata/sf0.01"
 
@@ -54,6 +54,24 @@ def test_quality_of_held_out_documents(spark):
     assert (held.predicted == held.quality).mean() > 0.95
 
 
+def test_scores_by_hand(spark, tricky):
+    """Features, marginals and their mean, line by line; one text has very many lines."""
+    folder = DATA.replace("0.01", "0.001")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    many = "\n".join(f"line {i % 37} of | many!" + " again" * (i % 3) for i in range(5000))
+    rows += [(20_000 + i, t) for i, (_, t) in enumerate(tricky)] + [(30_000, many), (30_001, "a a a\n\nb\n a a a\nA1 B2 || x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in score_quality(table, labels).collect()}
+    model = train(*_sample(table, labels, "doc_id", "text", 5))
+    assert len(found) == len(rows)
+    for i, text in rows:
+        score, lines, good = quality(model, text)
+        assert (found[i].n_lines, found[i].n_good_lines) == (lines, good), i
+        assert found[i].score == pytest.approx(score, abs=1e-9), i
+        assert (found[i].held_out, found[i].predicted) == (crc(i) % 5 == 0, int(found[i].score >= 0.3)), i
+
+
 def test_labels_and_other_columns_are_no_input_of_a_score(spark, docs):
     labels = spark.createDataFrame([(i, i % 2, 0, "x") for i in range(120)], "doc_id long, quality int, toxic int, text string")
     one = {(r.doc_id, r.score) for r in score_quality(docs, labels).collect()}

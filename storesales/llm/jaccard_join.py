@@ -43,6 +43,9 @@ FRAGMENTS = 8
 # Rounds in which the most central set of each bucket is compared with the others, before hubs by hash.
 CENTRES = 2
 
+# Pairs of a bucket left for an entry, on average, up to which all are compared in one round.
+PAIRS_AT_ONCE = 512
+
 # One in so many sets of a level is a hub of the next.
 FAN = 8
 
@@ -402,12 +405,14 @@ def jaccard_components(
        fragment and summed; the sum decides.
 
     Large groups are not spelled out into pairs. First the most central set of
-    each bucket of sets that share n-grams is compared with the others, and the
-    most central one outside of what that has joined. What is then still apart
-    is compared over hubs of falling levels, one in ``FAN`` of the level below:
-    a pair is only looked at when the higher of its two hubs' rounds comes and
-    earlier links have not joined them yet. The last round covers all that are
-    still apart, so no link between components is missed.
+    each bucket of sets that share n-grams is compared with the others. Buckets
+    that are not joined by that go on: if they leave few pairs for an entry, all
+    that are still apart are compared at once. Else the most central set outside
+    of the first one's component follows, and then hubs of falling levels, one
+    in ``FAN`` of the level below: a pair is only looked at when the higher of
+    its two hubs' rounds comes and earlier links have not joined them yet. The
+    last round covers all that are still apart, so no link between components is
+    missed.
 
     NULL, empty and blank texts have an empty set and are components of their
     own, as are rows with a NULL id and such a text. Repeated rows share a
@@ -480,7 +485,11 @@ def _segments(first: DataFrame, texts: DataFrame, order: Order, naming: Naming,
 
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (mark_of("text") == F.col("mark"))
     found = texts.join(small_enough(first.select("sid", "id", "mark"), BROADCAST_ROWS), same).select("sid", "text")
-    return cut(found.mapInArrow(spell, "sid long, fragment int, tokens binary").dropDuplicates(["sid", "fragment"]), "jaccard-segments")
+    segments = cut(found.mapInArrow(spell, "sid long, fragment int, tokens binary"), "jaccard-segments")
+    # Only repeated rows spell a set twice: seldom, so the tokens are not shuffled to find out.
+    if segments.groupBy("sid", "fragment").count().where("count > 1").isEmpty():
+        return segments
+    return cut(segments.dropDuplicates(["sid", "fragment"]), "jaccard-segments")
 
 
 def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, order: Order, naming: Naming, n: int, percent: int) -> DataFrame:
@@ -520,15 +529,17 @@ def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, order: Order,
 
     for after in range(CENTRES):
         labels = merged(labels, _central(labelled(labels), percent, after))
-    # Buckets of one component are done.
-    rows = labelled(labels)
-    open_ = cut(rows.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low <> high"), "jaccard-open")
-    largest = open_.agg(F.max("size").alias("size")).first()["size"]
-    if not largest:
-        return labels
-    entries = cut(entries.join(open_.select("bucket"), "bucket", "left_semi"), "jaccard-entries")
+        # Buckets of one component are done.
+        rows = labelled(labels).groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"))
+        open_ = cut(rows.where("low <> high").select("bucket", "size"), "jaccard-open")
+        left = open_.agg(F.max("size").alias("largest"), F.sum("size").alias("n"), F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("pairs")).first()
+        if not left["largest"]:
+            return labels
+        entries = cut(entries.join(open_.select("bucket"), "bucket", "left_semi"), "jaccard-entries")
+        if left["pairs"] <= PAIRS_AT_ONCE * left["n"]:
+            return merged(labels, _by_level(labelled(labels).withColumn("level", F.lit(0)), 0, percent))
     level, top = F.lit(0), 0
-    while FAN**top < largest:
+    while FAN**top < left["largest"]:
         top += 1
         level = F.when(F.pmod(F.xxhash64("sid"), F.lit(FAN**top)) == 0, top).otherwise(level)
     entries = entries.withColumn("level", level)

@@ -74,8 +74,9 @@ def near_copies(words, seed):
     return [(i, " ".join(r)) for i, r in enumerate(rows)]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_no_link_between_different_texts_is_lost(spark, words, seed):
+@pytest.mark.parametrize(("seed", "at_once"), [(1, 512), (2, 512), (3, 0), (4, 0)])
+def test_no_link_between_different_texts_is_lost(spark, words, monkeypatch, seed, at_once):
+    monkeypatch.setattr(jaccard_join, "PAIRS_AT_ONCE", at_once)
     rows = near_copies(words, seed)
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(table).collect()}

@@ -16,6 +16,7 @@ from storesales.llm.jaccard_join import jaccard_sets, mark_of
 from storesales.llm.language import UNKNOWN, identify
 from storesales.llm.packing import pack
 from storesales.llm.quality import score_quality
+from storesales.sources.shared import checkpoint, new_path, remove, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -90,8 +91,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again before the next."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over the documents, each written and read again before the next; what a stage leaves behind is removed."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            docs = checkpoint(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storesales.llm.common import cut
+from storesales.llm.common import cut, small_enough
 from storesales.llm.components import components, roots_of
 
 # Vectors of one subtree, which is what a task holds twice.
@@ -21,6 +21,13 @@ CHUNK = 8_192
 # Cells of the top level; their centres are broadcast.
 MOST_CELLS = 1_024
 
+# Nearest centres by which full cells are divided, and parts that the last of these is cut into.
+DEPTH = 4
+MOST_PARTS = 1 << 18
+
+# Sizes of parts up to which they are broadcast.
+BROADCAST_ROWS = 2_000_000
+
 # Pairs of points that are compared at once rather than by going down further.
 AT_ONCE = 1 << 21
 
@@ -274,9 +281,10 @@ def embedding_links(
 
     Equal vectors are folded first, so a vector of a third of all rows is
     compared once, with its number as weight. The others are dealt to cells of
-    the nearest of a few broadcast centres, the top level, and cells with more
-    than ``CHUNK`` vectors to equal parts. A task builds the cover tree of each
-    part: nested levels with halving radii. Pairs of cells, then pairs of nodes
+    the nearest of a few broadcast centres, the top level, those of cells with
+    more than ``CHUNK`` vectors also to the next nearest ones, and what is still
+    larger to equal parts. A task builds the cover tree of each part: nested
+    levels with halving radii. Pairs of cells, then of parts, then pairs of nodes
     on the way down, are pruned when their centres are further apart than both
     radii and the threshold distance; when even the furthest points are near
     enough, all pairs link and are counted without being looked at. Links are
@@ -359,26 +367,29 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
             for at in range(0, batch.num_rows, 2048):
                 some = batch.slice(at, 2048)
                 near = _distances(_unit(some.column("v").to_pylist()), shared.value)
+                path = np.argsort(near, axis=1, kind="stable")[:, :DEPTH]
                 yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array(near.argmin(axis=1)), pa.array(near.min(axis=1))],
-                    ["key", "weight", "v", "cell", "far"],
+                    [*some.columns, pa.array(path[:, 0]), pa.array(path.tolist(), pa.list_(pa.int64())), pa.array(near.min(axis=1))],
+                    ["key", "weight", "v", "cell", "path", "far"],
                 )
 
     celled = cut(
         vectors.select("key", "weight", "v").mapInArrow(
-            assign, f"key long, weight long, v array<{kind}>, cell long, far double"
+            assign, f"key long, weight long, v array<{kind}>, cell long, path array<long>, far double"
         ),
         "embedding-cells",
     )
     # At most MOST_CELLS rows.
     cells = {r["cell"]: (r["n"], r["far"]) for r in celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
-    parts = spark.createDataFrame([(c, math.ceil(n / CHUNK)) for c, (n, _) in cells.items()], "cell long, parts int")
-    parted = celled.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    parted = _parted(celled, any(n > CHUNK for n, _ in cells.values())).drop("path", "far")
 
     def grow(table: pa.Table) -> pa.Table:
         given = np.array(table.column("v").to_pylist(), scalar)
         keys = table.column("key").to_numpy()
-        tree = CoverTree.build(_unit(given), table.column("weight").to_numpy().astype(float), keys)
+        points = _unit(given)
+        middle = points.mean(axis=0)
+        radius = float(np.linalg.norm(points - middle, axis=1).max())
+        tree = CoverTree.build(points, table.column("weight").to_numpy().astype(float), keys)
         by_key = np.argsort(keys)
         # The vectors move as they were given; unit length in double precision comes back from them.
         tree.points = given[by_key[np.searchsorted(keys[by_key], tree.keys)]]
@@ -386,11 +397,13 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
             {
                 "cell": table.column("cell")[:1],
                 "part": table.column("part")[:1],
+                "middle": pa.array([middle.tolist()], pa.list_(pa.float64())),
+                "radius": pa.array([radius]),
                 "tree": pa.array([_packed(tree)], pa.binary()),
             }
         )
 
-    trees = cut(parted.groupBy("cell", "part").applyInArrow(grow, "cell long, part int, tree binary"), "embedding-trees")
+    trees = cut(parted.groupBy("cell", "part").applyInArrow(grow, "cell long, part long, middle array<double>, radius double, tree binary"), "embedding-trees")
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
     near = _distances(centres, centres)
     pairs = [
@@ -400,12 +413,11 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
         if a <= b and near[a, b] <= cells[a][1] + cells[b][1] + reach
     ]
     cell_pairs = spark.createDataFrame(pairs, "ca long, cb long")
+
     left = trees.select(F.col("cell").alias("ca"), F.col("part").alias("pa"), F.col("tree").alias("ta"))
     right = trees.select(F.col("cell").alias("cb"), F.col("part").alias("pb"), F.col("tree").alias("tb"))
     met = (
-        cell_pairs.join(left.drop("ta"), "ca")
-        .join(right.drop("tb"), "cb")
-        .where("ca < cb OR pa <= pb")
+        _part_pairs(trees, cell_pairs, reach)
         .withColumn("deal", F.xxhash64("ca", "pa", "cb", "pb"))
         .join(left, ["ca", "pa"])
         .join(right, ["cb", "pb"])
@@ -431,6 +443,39 @@ def _links_of(spark: SparkSession, vectors: DataFrame, threshold: float) -> Data
     return cut(met.drop("deal").mapInArrow(traverse, "a long, b long, n long"), "embedding-links")
 
 
+def _parted(celled: DataFrame, full: bool) -> DataFrame:
+    """``celled`` with the number of the ``part`` of its cell that each vector lies in, of about ``CHUNK`` vectors at most.
+
+    What is too large is divided by the next nearest centre, again and again:
+    vectors that see the centres in the same order are near each other. What is
+    still too large at the last one is divided evenly.
+    """
+    rows = celled.withColumn("part", F.lit(1).cast("long"))
+    if not full:
+        return rows
+
+    def sized(rows: DataFrame, size: str) -> DataFrame:
+        sizes = cut(rows.groupBy("cell", "part").agg(F.count("*").alias(size)).where(F.col(size) > CHUNK), "embedding-full")
+        return rows.join(small_enough(sizes, BROADCAST_ROWS), ["cell", "part"], "left")
+
+    for depth in range(1, DEPTH):
+        deeper = F.col("part") * (2 * MOST_CELLS) + F.get("path", F.lit(depth)) + 1
+        rows = sized(rows, "size").withColumn("part", F.when(F.col("size").isNull() | deeper.isNull(), F.col("part")).otherwise(deeper)).drop("size")
+    rows = sized(rows, "size")
+    return rows.withColumn("part", F.col("part") * MOST_PARTS + F.pmod(F.xxhash64("key"), F.ceil(F.coalesce("size", F.lit(1)) / CHUNK)))
+
+
+def _part_pairs(trees: DataFrame, cell_pairs: DataFrame, reach: float) -> DataFrame:
+    """``ca, pa, cb, pb``: the parts of near cells whose balls are not too far apart to hold a link."""
+
+    def side(mark: str) -> DataFrame:
+        return trees.select(*(F.col(c).alias(f"{short}{mark}") for c, short in (("cell", "c"), ("part", "p"), ("middle", "m"), ("radius", "r"))))
+
+    apart = F.sqrt(F.aggregate(F.zip_with("ma", "mb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x))
+    met = cell_pairs.join(side("a"), "ca").join(side("b"), "cb").where("ca < cb OR pa <= pb")
+    return met.where(apart <= F.col("ra") + F.col("rb") + reach).select("ca", "pa", "cb", "pb")
+
+
 def _packed(tree: CoverTree) -> bytes:
     """The tree's arrays."""
     return pickle.dumps(tuple(getattr(tree, f) for f in tree.__dataclass_fields__), protocol=5)

@@ -253,6 +253,31 @@ def test_links_of_vectors(spark, monkeypatch, at_once):
     assert got == {**{i: (counts[i], root[i], root[i] == i) for i in root}, None: (0, None, True)}
 
 
+def test_full_cells_are_divided_so_that_far_parts_never_meet(spark, monkeypatch):
+    """Clustered vectors: pairs of parts grow with the vectors, not with their square; links are exact."""
+    monkeypatch.setattr(links_module, "CHUNK", 32)
+    monkeypatch.setattr(links_module, "MOST_CELLS", 8)
+    seen, find = [], links_module._part_pairs
+
+    def counted(trees, cell_pairs, reach):
+        pairs = find(trees, cell_pairs, reach)
+        seen.append((trees.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(links_module, "_part_pairs", counted)
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(40, 12))
+    middles /= np.linalg.norm(middles, axis=1, keepdims=True)
+    for each in (8, 40):
+        points = np.repeat(middles, each, axis=0) + rng.normal(size=(40 * each, 12)) * 0.01
+        table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+        got = {r.vec_id: r.n_links for r in embedding_links(table).collect()}
+        unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+        assert got == dict(enumerate(((unit @ unit.T >= 0.95).sum(axis=1) - 1).tolist()))
+    (few, few_pairs), (many, many_pairs) = seen
+    assert many > 20 and many_pairs < 0.5 * many * (many + 1) / 2, seen
+
+
 def test_repeated_vectors_and_empty_tables(spark):
     table = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, embedding_links(table).collect())) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]

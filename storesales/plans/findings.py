@@ -106,8 +106,21 @@ def _records(rows: DataFrame) -> Column:
     return numbered.agg(F.transform(pairs, lambda pair: pair["row"])).scalar()
 
 
+# The public names of the tables that the summary reads.
+SUMMARY_TABLES = (
+    "ventas_por_familia",
+    "ventas_por_tienda",
+    "ventas_feriado_vs_normal",
+    "sensibilidad_familias_feriados",
+    "efecto_promocion_por_familia",
+    "ventas_vs_petroleo_mensual",
+    "sensibilidad_ciudades_petroleo",
+    "ticket_promedio_por_tienda",
+)
+
+
 def summary(tables: dict[str, DataFrame], years: tuple[int, int] = OIL_FALL) -> DataFrame:
-    """All findings in one nested row, under their public names."""
+    """All findings in one nested row, under their public names; ``tables`` has those of ``SUMMARY_TABLES``."""
     spark = tables["ventas_por_familia"].sparkSession
     by_store = tables["ventas_por_tienda"]
     monthly = tables["ventas_vs_petroleo_mensual"]

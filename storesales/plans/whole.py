@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storesales.fixtures import FIXTURE_FALL
 from storesales.plans.analytics import ANALYTIC_TABLES, DAY_FAMILY_TABLES, around_events, city_period_sensitivity, sales_city_period
-from storesales.plans.findings import summary
+from storesales.plans.findings import SUMMARY_TABLES, summary
 from storesales.plans.measures import DAY_FAMILY, STORE_YEAR
 from storesales.plans.warehouse import Warehouse
 from storesales.sources.csv import load_all
@@ -17,7 +17,7 @@ from storesales.sources.schemas import RAW_FILES
 from storesales.sources.shared import checkpoint, concurrently, cut, new_path
 from storesales.sources.sinks import export_all, parquet_sink
 
-# Table -> its main measure.
+# Public table names, and the main measure of each.
 MEASURES = {
     "ventas_por_familia": "ventas_totales",
     "ventas_por_tienda": "ventas_totales",
@@ -36,7 +36,7 @@ MEASURES = {
     "ticket_promedio_por_tienda": "ticket_promedio",
 }
 
-# Finding -> the column that names its rows and their measure.
+# Public names of findings, and the columns that name their rows and hold their measure.
 RANKINGS = {
     "top_10_tiendas": ("store_nbr", "ventas_totales"),
     "bottom_10_tiendas": ("store_nbr", "ventas_totales"),
@@ -106,7 +106,8 @@ def job_tables(w: Warehouse) -> DataFrame:
 def summary_report(w: Warehouse) -> DataFrame:
     """The rankings of the summary, a row per entry."""
     tables = _tables(w)
-    found = cut(summary(concurrently(w.spark, lambda name: cut(tables[name], name), tables), FIXTURE_FALL), "summary")
+    read = concurrently(w.spark, lambda name: cut(tables[name], name), SUMMARY_TABLES)
+    found = cut(summary(read, FIXTURE_FALL), "summary")
     return _union(
         [
             found.select(F.explode(name).alias("entry")).select(

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -95,3 +96,72 @@ def test_nulls_repeated_rows_and_empty_tables(spark):
     got = sorted(map(tuple, extract(spark.createDataFrame(rows, schema)).collect()), key=repr)
     assert got == sorted([(1, "u", "", 0), (None, None, "a", 1), (2, "v", "", 0), (2, "v", "", 0)], key=repr)
     assert extract(spark.createDataFrame([], schema)).collect() == []
+
+
+def random_page(rng):
+    """Elements as (parent, tag, text, text in a link) in page order, under a root that is no element; text lies in leaves."""
+    nodes = [(-1, "#root", "", "")]
+    boxes = [0]
+    while len(nodes) < 14:
+        parent = rng.choice(boxes[-4:])
+        if rng.random() < 0.4 and parent == boxes[-1] or len(nodes) == 1:
+            boxes.append(len(nodes))
+            nodes.append((parent, rng.choice(["div", "section"]), "", ""))
+        elif parent in boxes:
+            # An element is written after all that came before it, so its parent must still be open.
+            boxes = boxes[: boxes.index(parent) + 1]
+            words = [rng.choice(["word", "other,", "longer text,", "end."]) for _ in range(rng.choice([1, 3, 12, 40]))]
+            link = " ".join(words[: rng.choice([0, 0, 0, 1, len(words)])])
+            nodes.append((parent, rng.choice(["p", "p", "p", "h2"]), " ".join(words), link))
+    return nodes
+
+
+def rendered(nodes, node=0):
+    _, tag, text, link = nodes[node]
+    inside = "".join(rendered(nodes, i) for i, n in enumerate(nodes) if n[0] == node)
+    own = f"<a href=x>{link}</a>{text[len(link):]}" if link else text
+    return inside if node == 0 else f"<{tag}>{own}{inside}</{tag}>"
+
+
+def scored_by_hand(nodes):
+    """The kept blocks, by the rules as they are written."""
+    inside = {i: {i} for i in range(len(nodes))}
+    for i in range(len(nodes) - 1, 0, -1):
+        inside[nodes[i][0]] |= inside[i]
+    chars = {i: sum(len(nodes[k][2]) for k in inside[i]) for i in inside}
+    linked = {i: sum(len(nodes[k][3]) for k in inside[i]) for i in inside}
+    points = dict.fromkeys(inside, 0.0)
+    for parent, _, text, link in nodes:
+        if text:
+            worth = (1 + text.count(",") + min(3, len(text) / 100)) * (1 - len(link) / len(text))
+            for share in (1, 2, 3):
+                if parent >= 0:
+                    points[parent] += worth / share
+                    parent = nodes[parent][0]
+    net = {i: p * (1 - linked[i] / chars[i]) if chars[i] else 0 for i, p in points.items()}
+    best = max(net, key=lambda i: (net[i], -i))
+    while nodes[best][0] > 0 and chars[nodes[best][0]] == chars[best]:
+        best = nodes[best][0]
+    kept = set(inside[best])
+    if best:
+        row = [i for i in range(1, len(nodes)) if nodes[i][0] == nodes[best][0] and chars[i]]
+        few = {i: linked[i] < 0.25 * chars[i] for i in row}
+        sure = {i for i in row if i == best or net[i] >= 0.2 * net[best] or few[i] and nodes[i][2] and chars[i] > 80}
+        for k, i in enumerate(row):
+            before = next((j for j in row[:k][::-1] if j in sure or not few[j]), None)
+            after = next((j for j in row[k + 1 :] if j in sure or not few[j]), None)
+            if i in sure or few[i] and (before in sure or after in sure):
+                kept |= inside[i]
+    return "\n".join(text for i, (_, _, text, _) in enumerate(nodes) if text and i in kept)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_scores_of_random_trees_by_hand(seed):
+    rng = random.Random(seed)
+    dropped = 0
+    for _ in range(200):
+        nodes = random_page(rng)
+        found = main_text(rendered(nodes))
+        assert found == scored_by_hand(nodes), rendered(nodes)
+        dropped += found != "\n".join(n[2] for n in nodes if n[2])
+    assert dropped > 10

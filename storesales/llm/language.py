@@ -30,6 +30,9 @@ OVERLAP = 3
 # Numbers in one array of an EM step.
 BLOCK = 4 << 20
 
+# Languages that a map task counts at a time, at half a megabyte each.
+HELD_LANGUAGES = 64
+
 UNKNOWN = "und"
 
 # Bytes that count: letters in lower case, parts of longer characters; everything else is a blank.
@@ -71,24 +74,33 @@ def learn(texts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarr
     """Languages, the probability of each trigram slot (row) in each of them, their trigrams, and ``letters_at_random``.
 
     Map tasks count ``lang, text`` per language, trigrams by slot and their
-    middle bytes behind them; the sums that reach the driver are at most
-    ``SLOTS + 256`` per language, however many texts there are.
+    middle bytes behind them, of a bounded number of languages at a time; the
+    sums that reach the driver are at most ``SLOTS + 256`` per language, however
+    many texts there are. The model takes half a megabyte per language, on the
+    driver and in every worker, so it is for hundreds of languages.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            while totals:
+                lang, total = totals.popitem()
+                seen = np.flatnonzero(total)
+                yield pa.RecordBatch.from_pydict(
+                    {"lang": pa.array([lang] * len(seen), pa.string()), "slot": pa.array(seen), "n": pa.array(total[seen])}
+                )
+
         for batch in slices(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if lang not in totals and len(totals) >= HELD_LANGUAGES:
+                    yield from hand_on()
                 codes = _codes_of(text)
                 slots, counts = _counted(codes)
                 total = totals.setdefault(lang, np.zeros(SLOTS + 256, np.int64))
                 total[slots] += counts
                 total[SLOTS:] += np.bincount(codes >> 8 & 0xFF, minlength=256)
-        for lang, total in totals.items():
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict(
-                {"lang": pa.array([lang] * len(seen), pa.string()), "slot": pa.array(seen), "n": pa.array(total[seen])}
-            )
+        yield from hand_on()
 
     counted = texts.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     found = counted.toArrow()

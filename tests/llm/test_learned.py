@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from by_hand import by_hand, quality
+from storesales.llm import language
 from storesales.llm.language import identify, mixture, trigrams
 from storesales.llm.quality import _sample, forward_backward, lines_of, score_quality, train, with_neighbours
 
@@ -122,6 +123,16 @@ def test_languages_by_hand(spark, docs, tricky):
         assert [r.score, *r.shares, r.gain, r.error] == pytest.approx([w.score, *w.shares, w.gain, w.error], abs=1e-6), i
 
 
+def test_many_languages_are_counted_a_few_at_a_time(spark, words, monkeypatch):
+    rows = [(i, " ".join(words[i % 40 * 10 : i % 40 * 10 + 10]) * 3, f"l{i % 40:02}") for i in range(160)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    found = sorted(map(tuple, identify(table).collect()), key=repr)
+    monkeypatch.setattr(language, "HELD_LANGUAGES", 3)
+    names, model, learned, _ = language.learn(table.select("lang", "text"))
+    assert len(names) == 40 and learned.sum() > 0
+    assert sorted(map(tuple, identify(table).collect()), key=repr) == found
+
+
 def test_mixed_texts_have_their_languages(spark):
     english = "the house and the garden are where they were when the summer went over the hill with them"
     german = "der garten und das haus sind noch immer dort wo sie im sommer waren als wir zu ihnen gingen"

@@ -261,10 +261,11 @@ def frequent_phrases(
     active = Active(bits, [np.full(1 << bits, NEVER, np.uint8) for _ in range(LONGEST)])
     scans, counters = [], None
     for scan in range(shards):
-        scanned = cut(_scan(dealt, active, scan, shards), "phrases-scanned")
-        parts = scanned.where("part IS NOT NULL").select("part", "slots")
-        counters = cut(_summed(parts if counters is None else parts.unionByName(counters)), "phrases-counters")
+        scanned, parts, parts_place = _kept(_scan(dealt, active, scan, shards))
+        rows = parts.select("part", "slots")
+        counters = cut(_summed(rows if counters is None else rows.unionByName(counters)), "phrases-counters")
         _enter(active, counters, threshold, scan)
+        remove(spark, parts_place)  # their sums are written
         scans.append(scanned)
     totals = cut(_all(scans).where("words = 0").groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     scans += [_scan(dealt, active, scan, shards) for scan in range(shards, 2 * shards)]
@@ -274,6 +275,16 @@ def frequent_phrases(
     return phrases, totals
 
 
+def _kept(scanned: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """What a scan gives, written once: counts of phrases, and counters of slots with the folder that only they are in."""
+    spark = scanned.sparkSession
+    path = new_path(spark, "phrases-scanned")
+    marked = scanned.withColumn("counters", F.col("part").isNotNull())
+    marked.write.option("compression", "zstd").partitionBy("counters").parquet(path)
+    found = spark.read.schema(marked.schema).parquet(path)
+    return found.where("NOT counters").drop("counters"), found.where("counters").drop("counters"), f"{path}/counters=true"
+
+
 def _all(frames: list[DataFrame]) -> DataFrame:
     result = frames[0]
     for more in frames[1:]:

@@ -107,6 +107,12 @@ class Transducer:
         self._odd: set[int] = set()
         # Every beginning of a piece: the piece's id where it is a whole one, else -1.
         self.prefixes = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
+        # Neighbouring ASCII characters of some piece: no piece reaches across others.
+        self.joined = np.zeros((256, 256), bool)
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:], strict=False):
+                if a < "\x80" and b < "\x80":
+                    self.joined[ord(a), ord(b)] = True
         byte_of = {i: b for b, i in self.bytes_from.items()}
         # What a piece is as text; control pieces are nothing.
         self.raw = [
@@ -209,7 +215,7 @@ class Transducer:
         return score > taken and score >= taken_too
 
     def _arcs(self, text: str, place: int) -> list[tuple[int, int, float]]:
-        """Arcs from a place of a segment, as id, end and cost: pieces that begin there, and the bytes of a character that is none."""
+        """Arcs from a place of a segment, as id, end and cost: the bytes of a character that is no piece, and pieces by length."""
         arcs, find = [], self.prefixes.get
         for end in range(place + 1, len(text) + 1):
             piece = find(text[place:end])
@@ -218,7 +224,7 @@ class Transducer:
             if piece >= 0:
                 arcs.append((piece, end, self.costs[piece]))
         if not arcs or arcs[0][1] > place + 1:
-            arcs.append((_START, place + 1, self.unknown))
+            arcs.insert(0, (_START, place + 1, self.unknown))
         return arcs
 
     def free_path(self, text: str) -> list[int]:
@@ -239,30 +245,33 @@ class Transducer:
     def path(self, text: str) -> list[int]:
         """Shortest path where a piece may only follow some: states are places with the last piece.
 
-        Costs are relaxed place by place, as no arc leads back. A path that
-        comes behind a piece that it cannot follow costs infinity and is not
-        kept. A character without a piece has the pieces of its bytes, which
-        nothing merges with.
+        Merging leaves one segmentation into pieces, so only one path costs less
+        than infinity, but for paths through the bytes of a character that could
+        have been part of a piece, which cost more. So arcs are followed depth
+        first, the longest piece first and bytes last, and the first path that
+        reaches the end is the shortest. A state that leads nowhere is never
+        entered again, so the search takes no more steps than the composition
+        has arcs, and most of these are never looked at.
         """
-        beside = self._beside
-        states: list[dict[int, tuple[float, int, int]]] = [{} for _ in range(len(text) + 1)]
-        states[0][_START] = (0.0, 0, _START)
-        for place in range(len(text)):
-            here = states[place]
-            if not here:
-                continue
-            for piece, end, more in self._arcs(text, place):
-                there = states[end]
-                for last, (cost, _, _) in here.items():
-                    if (piece < 0 or last < 0 or beside(last, piece)) and (piece not in there or cost + more < there[piece][0]):
-                        there[piece] = (cost + more, place, last)
-        path, place = [], len(text)
-        piece = min(states[place], key=lambda p: states[place][p][0])
-        while place:
-            _, start, last = states[place][piece]
-            path.append((start, piece))
-            place, piece = start, last
-        return self._output(text, path[::-1])
+        n, beside = len(text), self._beside
+        dead: set[tuple[int, int]] = set()
+        place, last = 0, _START
+        way: list[tuple[int, int, list[tuple[int, int, float]]]] = []  # place, piece before it, arcs still to try
+        left: list[tuple[int, int, float]] | None = None
+        while place < n:
+            if left is None:
+                left = self._arcs(text, place)
+            while left:
+                piece, end, _ = left.pop()
+                if (piece < 0 or last < 0 or beside(last, piece)) and (not dead or (end, piece) not in dead):
+                    way.append((place, last, left))
+                    place, last, left = end, piece, None
+                    break
+            else:
+                dead.add((place, last))
+                place, last, left = way.pop()
+        pieces = [last for _, last, _ in way[1:]] + [last]
+        return self._output(text, [(start, piece) for (start, _, _), piece in zip(way, pieces, strict=True)])
 
     def _output(self, text: str, path: list[tuple[int, int]]) -> list[int]:
         ids: list[int] = []
@@ -276,8 +285,9 @@ class Transducer:
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of whole texts as little-endian 32-bit numbers.
 
-        The composition is cut where all paths meet, before each run of blanks
-        behind something else; distinct segments are looked up, and their ids
+        The composition is cut where all paths meet: before each run of blanks
+        behind something else, and between two ASCII characters that are
+        neighbours in no piece. Distinct segments are looked up, and their ids
         put together by the segments' numbers.
         """
         plain = texts.cast(pa.large_string())
@@ -294,6 +304,8 @@ class Transducer:
         cuts = np.zeros(len(data), bool)
         cuts[offsets[:-1][offsets[:-1] < len(data)]] = True
         cuts[1:] |= blank[1:] & ~ends[:-1]
+        before, after = data[:-1], data[1:]
+        cuts[1:] |= (before < 0x80) & (after < 0x80) & (before != 0x20) & (after != 0x20) & ~self.joined[before, after]
         places = np.flatnonzero(cuts)
         coded = strings_of(data, np.append(places, len(data))).dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)

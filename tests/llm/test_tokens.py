@@ -249,7 +249,7 @@ def test_costs_decide_and_infinite_ones_forbid(tmp_path):
     free.costs[free.ids["b"]] = 9.0
     free.segments.clear()
     assert spelled(free, "ab") == ["▁", "ab"]
-    # Merging makes "bc" first, though "ab" and "c" together cost less.
+    # Merging makes "bc" first, though "ab" is found before it.
     merges = Transducer(model_file(tmp_path / "m", Transducer.MERGES, [("bc", -0.5), ("ab", -1.0), ("c", -1.1), ("a", -90), ("b", -91), ("▁", -92)]))
     assert spelled(merges, "abc") == ["▁", "a", "bc"]
     merges._beside = lambda first, second: True

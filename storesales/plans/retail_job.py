@@ -28,7 +28,7 @@ from storesales.plans.measures import DAY_FAMILY, STORE_YEAR, Measures
 from storesales.sources.csv import load_all
 from storesales.sources.schemas import TECHNICAL_KEYS
 from storesales.sources.shared import checkpoint, concurrently, scratch
-from storesales.sources.sizing import size_shuffles
+from storesales.sources.sizing import size_shuffles, size_tasks
 from storesales.sources.sinks import Sink, export_all, write_report
 
 logger = logging.getLogger(__name__)
@@ -141,6 +141,7 @@ def run_job(
     with scratch(spark):
         raw = load_all(spark, source_dir, f"{out}/raw", multi_line)
         size_shuffles(spark, raw.values())
+        size_tasks(spark)
         quality = profile_stage(raw, out)
         cleaned, metrics = clean_stage(raw, out)
         consolidated = consolidate_stage(cleaned, out)

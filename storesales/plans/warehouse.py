@@ -15,7 +15,7 @@ from storesales.plans.clean import CLEANERS, clean_table
 from storesales.plans.consolidate import consolidate
 from storesales.plans.measures import Measures
 from storesales.sources.shared import checkpoint, concurrently, new_path, version
-from storesales.sources.sizing import size_shuffles
+from storesales.sources.sizing import size_shuffles, size_tasks
 
 # (application, data folder, table) -> (version of the input, path, schema) of what is written.
 _written: dict[tuple[str, str, str], tuple] = {}
@@ -32,6 +32,7 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.version = tuple(version(spark, f"{sf_dir}/{name}.parquet") for name in SOURCES)
         size_shuffles(spark, [spark.read.parquet(f"{sf_dir}/lineitem.parquet")])
+        size_tasks(spark)
 
     def _once(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)

@@ -453,6 +453,17 @@ def test_shuffles_follow_the_input(spark, settings, tmp_path):
     assert ", 100)" in grouped._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tasks_read_little_at_once_unless_the_user_says_otherwise(spark, settings):
+    scan, shuffle = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    settings({scan: "1m", shuffle: "5m"})
+    spark.conf.unset(scan)
+    Warehouse(spark, SF_DIR)
+    assert (spark.conf.get(scan), spark.conf.get(shuffle)) == (str(16 << 20), "5m")
+    spark.conf.unset(shuffle)
+    Warehouse(spark, SF_DIR)
+    assert (spark.conf.get(scan), spark.conf.get(shuffle)) == (str(16 << 20), str(32 << 20))
+
+
 def test_tables_without_rows_are_loaded(spark, tmp_path):
     source = put(tmp_path, **{"oil.csv": "﻿date,dcoilwtico\n", "transactions.csv": "date,store_nbr,transactions\n"})
     loaded = load_all(spark, source, f"{source}/out")

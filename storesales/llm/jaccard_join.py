@@ -43,7 +43,8 @@ FRAGMENTS = 8
 # Rounds in which the most central set of each bucket is compared with the others, before hubs by hash.
 CENTRES = 2
 
-# Pairs of a bucket left for an entry, on average, up to which all are compared in one round.
+# Pairs of a bucket left for an entry, on average, up to which those that may link are counted; all are compared in one
+# round if they are no more than the entries.
 PAIRS_AT_ONCE = 512
 
 # One in so many sets of a level is a hub of the next.
@@ -406,8 +407,8 @@ def jaccard_components(
 
     Large groups are not spelled out into pairs. First the most central set of
     each bucket of sets that share n-grams is compared with the others. Buckets
-    that are not joined by that go on: if they leave few pairs for an entry, all
-    that are still apart are compared at once. Else the most central set outside
+    that are not joined by that go on: if no more pairs may link than there are
+    entries, all that are still apart are compared at once. Else the most central set outside
     of the first one's component follows, and then hubs of falling levels, one
     in ``FAN`` of the level below: a pair is only looked at when the higher of
     its two hubs' rounds comes and earlier links have not joined them yet. The
@@ -537,7 +538,10 @@ def _labels(entries: DataFrame, sets: DataFrame, texts: DataFrame, order: Order,
             return labels
         entries = cut(entries.join(open_.select("bucket"), "bucket", "left_semi"), "jaccard-entries")
         if left["pairs"] <= PAIRS_AT_ONCE * left["n"]:
-            return merged(labels, _by_level(labelled(labels).withColumn("level", F.lit(0)), 0, percent))
+            apart = _by_level(labelled(labels).withColumn("level", F.lit(0)), 0, percent)
+            # A few sets apart from a large component make a pair with each of its members: hubs spare most of these.
+            if apart.count() <= left["n"]:
+                return merged(labels, apart)
     level, top = F.lit(0), 0
     while FAN**top < left["largest"]:
         top += 1

@@ -126,6 +126,27 @@ def test_variants_of_one_text_are_joined_by_it(spark, words, pairs_counted):
     assert sum(pairs_counted) <= 1.2 * 10_001
 
 
+def test_more_pairs_than_entries_are_not_compared_at_once(spark, words, monkeypatch):
+    """Variants of a text that is not there: most of them do not link to the first one that all are compared with."""
+    levels, by_level = [], jaccard_join._by_level
+
+    def recorded(entries, level, percent):
+        levels.append(level)
+        return by_level(entries, level, percent)
+
+    monkeypatch.setattr(jaccard_join, "_by_level", recorded)
+    rng = random.Random(12)
+    base = [rng.choice(words) for _ in range(100)]
+    rows = []
+    for i in range(150):
+        at = rng.randrange(10, 85)
+        rows.append((i, " ".join([*base[:at], f"w{i}", *base[at + 1 :], f"u{i}", f"v{i}"])))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(table).collect()}
+    assert got == brute_force(rows)
+    assert max(levels) > 0
+
+
 def test_a_template_that_links_nobody(spark, words):
     rng = random.Random(11)
     template = [rng.choice(words) for _ in range(75)]

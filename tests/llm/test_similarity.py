@@ -299,6 +299,67 @@ def test_full_cells_are_divided_so_that_far_parts_never_meet(spark, monkeypatch)
     assert many > 20 and many_pairs < 0.5 * many * (many + 1) / 2, seen
 
 
+def unit_vectors(seed, n, dimensions, spread=0.0):
+    """Independent directions, or such that lie about a few."""
+    rng = np.random.default_rng(seed)
+    points = rng.normal(size=(n, dimensions))
+    if spread:
+        points = points * spread + rng.normal(size=(9, dimensions))[rng.integers(0, 9, n)]
+    return points / np.linalg.norm(points, axis=1, keepdims=True)
+
+
+def test_trees_of_independent_vectors_grow_in_proportion(monkeypatch):
+    n, compared, find = 8192, [], links_module._distances
+    points = unit_vectors(3, n, 64)
+
+    def counted(a, b):
+        compared.append(len(a) * len(b))
+        return find(a, b)
+
+    monkeypatch.setattr(links_module, "_distances", counted)
+    tree = CoverTree.build(points, np.ones(n), np.arange(n))
+    assert sorted(tree.keys) == list(range(n)) and np.array_equal(tree.points, points[tree.keys])
+    assert sum(compared) < n * n / 8
+
+
+def test_trees_meet_without_a_shuffle(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    rows = [(cell, part, [float(cell), 0.0], 0.1, b"tree") for cell in range(6) for part in range(3)]
+    trees = links_module.cut(spark.createDataFrame(rows, "cell long, part long, middle array<double>, radius double, tree binary"), "trees")
+    near = [(a, b) for a in range(6) for b in (a, a + 1) if b < 6 and (a, b) != (2, 3)]
+    met = links_module._part_pairs(trees, spark.createDataFrame(near, "ca long, cb long"), 0.85)
+    assert "hashpartitioning" not in met._jdf.queryExecution().executedPlan().toString()
+    assert [r.ta + r.tb for r in met.select("ta", "tb").collect()] == [b"treetree"] * met.count()
+    within = {(a, p, a, q) for a in range(6) for p in range(3) for q in range(p, 3)}
+    between = {(a, p, b, q) for a, b in near if a < b for p in range(3) for q in range(3)}
+    assert {tuple(r) for r in met.select("ca", "pa", "cb", "pb").collect()} == within | between and met.count() == len(within | between)
+
+
+@pytest.mark.parametrize("threshold", [0.95, 0.7, 0.3, -0.2, 0.9999])
+@pytest.mark.parametrize(("dimensions", "spread"), [(64, 0.0), (40, 0.05), (40, 0.3), (64, 1.0), (3, 0.1)])
+def test_leading_coordinates_lose_no_link(monkeypatch, threshold, dimensions, spread):
+    for name, value in (("ROWS", 16), ("COLUMNS", 32), ("STRIP", 24)):
+        monkeypatch.setattr(links_module, name, value)
+    points = unit_vectors(8, 500, dimensions, spread)
+    points[:40] = points[40:80] + 1e-9
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    weights, keys = np.arange(1, 501) % 7 + 1.0, np.random.default_rng(1).permutation(500)
+    reach = (2 - 2 * threshold) ** 0.5
+    for axes in (None, links_module._axes(points[::8])):
+        counts, edges = np.zeros(500), []
+        trees = [CoverTree.build(points[k], weights[k], k, min(1.0, reach / 2)) for k in (keys[:200], keys[200:])]
+        for a, b in ((trees[0], None), (trees[1], None), tuple(trees)):
+            done = Traversal(a, b, threshold, axes)
+            counts[a.keys] += done.counts_a
+            if b is not None:
+                counts[b.keys] += done.counts_b
+            edges += zip(*done.forest(), strict=True)
+        links = points @ points.T >= threshold
+        np.fill_diagonal(links, False)
+        assert counts.tolist() == (links @ weights).tolist()
+        assert smallest(range(500), edges) == smallest(range(500), zip(*np.nonzero(links), strict=True))
+
+
 def test_repeated_vectors_and_empty_tables(spark):
     table = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, embedding_links(table).collect())) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]

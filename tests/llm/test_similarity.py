@@ -322,6 +322,26 @@ def test_trees_of_independent_vectors_grow_in_proportion(monkeypatch):
     assert sum(compared) < n * n / 8
 
 
+def test_a_dense_group_is_compared_at_once_and_not_by_pairs_of_children(monkeypatch):
+    """Members further from each other than half of the group's radius are children of their own."""
+    monkeypatch.setattr(links_module, "AT_ONCE", 1 << 12)
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=64) / 8 + rng.normal(size=(400, 64)) * 0.0125
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    tree = CoverTree.build(points, np.ones(400), np.arange(400))
+    compared, find = [], links_module._distances
+
+    def counted(a, b):
+        compared.append(1)
+        return find(a, b)
+
+    monkeypatch.setattr(links_module, "_distances", counted)
+    done = Traversal(tree, None, 0.95)
+    links = tree.points @ tree.points.T >= 0.95
+    assert done.counts_a.tolist() == (links.sum(axis=1) - 1).tolist()
+    assert len(compared) < 400
+
+
 def test_trees_meet_without_a_shuffle(spark, settings):
     settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     rows = [(cell, part, [float(cell), 0.0], 0.1, b"tree") for cell in range(6) for part in range(3)]
